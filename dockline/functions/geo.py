@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 EQUATOR_M = 6378137.0
 FLATTENING = 1 / 298.257223563
 
-# Smallest radius of curvature of the ellipsoid, at the equator along a
-# meridian. A path on the ellipsoid is never shorter than on a sphere of it.
+# Smallest and largest radius of curvature of the ellipsoid: along a meridian
+# at the equator, and at the poles. A distance on the ellipsoid lies between
+# the distances on spheres of these radii, latitudes taken as they are.
 MIN_CURVATURE_M = EQUATOR_M * (1 - FLATTENING) ** 2
+MAX_CURVATURE_M = EQUATOR_M / (1 - FLATTENING)
+
+# Slack of the bounds for the error of geodesic_m, relative and in metres.
+BOUND_SLACK, BOUND_SLACK_M = 1e-5, 1e-3
 
 
 def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -39,25 +44,39 @@ def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column
     )
 
 
+def distance_ceiling_m(
+    lat1: str, cos_lat1: str, lon1: str, lat2: str, cos_lat2: str, lon2: str
+) -> str:
+    """SQL for a distance in metres that geodesic_m does not exceed.
+
+    The arguments are SQL too, angles in radians. Much cheaper than the
+    distance itself; SQL text keeps it usable inside lambda functions.
+    """
+    h = (
+        f"pow(sin(({lat2} - {lat1}) / 2), 2)"
+        f" + {cos_lat1} * {cos_lat2} * pow(sin(({lon2} - {lon1}) / 2), 2)"
+    )
+    return f"2 * asin(sqrt(least({h}, 1D))) * {MAX_CURVATURE_M * (1 + BOUND_SLACK)}D + {BOUND_SLACK_M}D"
+
+
 def box_distance_floor_m(
-    lat: Column, lon: Column, lat_min: Column, lat_max: Column, lon_min: Column, lon_max: Column
-) -> Column:
-    """A distance in metres that no point of the box undercuts.
+    lat: str, cos_lat: str, lon: str, lat_min: str, lat_max: str, lon_min: str, lon_max: str
+) -> str:
+    """SQL for a distance in metres that geodesic_m to no point of the box
+    undercuts; arguments as for distance_ceiling_m.
 
     The gap in latitude and the distance to the nearer bounding meridian each
-    bound the great-circle angle from below; on the sphere of the smallest
-    curvature they bound the geodesic too. The factor covers the error of
-    geodesic_m.
+    bound the great-circle angle from below.
     """
-    gap_lat = F.greatest(lat_min - lat, lat - lat_max, F.lit(0.0))
-    full_turn = F.lit(360.0)
-    inside = F.pmod(lon - lon_min, full_turn) <= lon_max - lon_min
+    gap_lat = f"greatest({lat_min} - {lat}, {lat} - {lat_max}, 0D)"
+    turn = "2 * pi()"
     # The shorter way round to the box, going east or west.
-    gap_lon = F.when(inside, F.lit(0.0)).otherwise(
-        F.least(F.pmod(lon_min - lon, full_turn), F.pmod(lon - lon_max, full_turn), F.lit(90.0))
+    gap_lon = (
+        f"if(pmod({lon} - {lon_min}, {turn}) <= {lon_max} - {lon_min}, 0D, least("
+        f"pmod({lon_min} - {lon}, {turn}), pmod({lon} - {lon_max}, {turn}), pi() / 2))"
     )
-    meridian = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(gap_lon)))
-    return F.greatest(F.radians(gap_lat), meridian) * (MIN_CURVATURE_M * (1 - 1e-5))
+    angle = f"greatest({gap_lat}, asin({cos_lat} * sin({gap_lon})))"
+    return f"{angle} * {MIN_CURVATURE_M * (1 - BOUND_SLACK)}D - {BOUND_SLACK_M}D"
 
 
 def route_geometry(ulat: Column, ulon: Column, lat: Column, lon: Column) -> Column:

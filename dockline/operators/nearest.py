@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockline.functions.geo import box_distance_floor_m, geodesic_m
+from dockline.functions.geo import box_distance_floor_m, distance_ceiling_m, geodesic_m
 from dockline.session import materialize
 
 LEAF_SIZE = 64
@@ -78,7 +78,7 @@ def nearest_station(points: DataFrame, stations: DataFrame, leaf_size: int = LEA
 def _cell(level: int) -> Column:
     """Cell number of a place at a level, from its grid position (gx, gy)."""
     shift = GRID_BITS - LEVEL_BITS * level
-    return F.shiftleft(F.shiftright("gx", shift), GRID_BITS).bitwiseOR(F.shiftright("gy", shift))
+    return F.expr(f"((gx >> {shift}) << {GRID_BITS}) | (gy >> {shift})")
 
 
 def _build_levels(places: DataFrame, leaf_size: int) -> list[tuple[DataFrame, Column, DataFrame]]:
@@ -101,14 +101,12 @@ def _build_levels(places: DataFrame, leaf_size: int) -> list[tuple[DataFrame, Co
     gridded = places.withColumns({"gx": grid("lon"), "gy": grid("lat")})
     levels, open_places = [], gridded
     for level in range(1, MAX_LEVEL + 1):
-        cells = open_places.groupBy(
-            _cell(level - 1).alias("parent") if level > 1 else F.lit(0).cast("long").alias("parent"),
-            _cell(level).alias("cell"),
-        ).agg(
+        cells = open_places.groupBy(_cell(level - 1).alias("parent"), _cell(level).alias("cell")).agg(
             F.count("*").alias("n"),
-            F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max"),
-            F.min("lon").alias("lon_min"), F.max("lon").alias("lon_max"),
-            F.min(F.struct("lat", "lon")).alias("member"),
+            F.expr("radians(min(lat)) lat_min"), F.expr("radians(max(lat)) lat_max"),
+            F.expr("radians(min(lon)) lon_min"), F.expr("radians(max(lon)) lon_max"),
+            # Longitude of one place at lat_min.
+            F.expr("radians(min_by(lon, lat)) member_lon"),
         )
         cells = cells.withColumn("leaf", (F.col("n") <= leaf_size) | F.lit(level == MAX_LEVEL))
         cells = materialize(cells, f"cells-{level}")
@@ -126,12 +124,11 @@ def _build_levels(places: DataFrame, leaf_size: int) -> list[tuple[DataFrame, Co
 def _search(
     spots: DataFrame, places: DataFrame, levels: list[tuple[DataFrame, Column, DataFrame]]
 ) -> DataFrame:
-    no_leaves = F.array().cast("array<struct<level:int,cell:bigint,floor:double>>")
-    # One row per point: `reach` is the distance to the nearest place seen so
-    # far, `open` the crowded cells and `leaves` the small cells still in reach.
-    state = spots.select(
-        "ulat", "ulon", F.lit(float("inf")).alias("reach"),
-        F.array(F.lit(0).cast("long")).alias("open"), no_leaves.alias("leaves"),
+    # One row per point: the nearest place lies within `reach`, in one of the
+    # crowded cells `open` or of the small cells `leaves`.
+    state = spots.selectExpr(
+        "ulat", "ulon", "double('inf') reach", "array(0L) open",
+        "cast(array() as array<struct<level:int,cell:bigint,floor:double>>) leaves",
     )
     for level, (cells, _, _) in enumerate(levels, start=1):
         state = _descend(state, cells, level)
@@ -141,48 +138,45 @@ def _search(
 def _descend(state: DataFrame, cells: DataFrame, level: int) -> DataFrame:
     """Replace each open cell by those of its children that are in reach."""
     # At most 64 children per parent.
-    children = cells.groupBy("parent").agg(
-        F.collect_list(F.struct(
-            "cell", "leaf", "lat_min", "lat_max", "lon_min", "lon_max", "member"
-        )).alias("children")
-    )
+    children = cells.groupBy("parent").agg(F.expr("""collect_list(struct(
+        cell, leaf, lat_min, lat_max, lon_min, lon_max, member_lon, cos(lat_min) as member_cos
+    ))""").alias("children"))
     if level == 1:
         # A single row with at most 64 children.
         children = F.broadcast(children)
     # Points with nothing open get keys that match no cell, all different ones
     # so that they do not meet in one partition.
-    unmatched = -1 - F.pmod(F.xxhash64("ulat", "ulon"), F.lit(1 << 40))
     opened = (
-        state.select("ulat", "ulon", "reach", "leaves", F.explode_outer("open").alias("parent"))
-        .withColumn("parent", F.coalesce("parent", unmatched))
+        state.selectExpr("ulat", "ulon", "reach", "leaves", "explode_outer(open) parent")
+        .withColumn("parent", F.expr("coalesce(parent, -1 - pmod(xxhash64(ulat, ulon), 1L << 40))"))
         .join(children, "parent", "left")
     )
-
-    child = F.transform("children", lambda c: F.struct(
-        c.cell.alias("cell"), c.leaf.alias("leaf"),
-        box_distance_floor_m(
-            F.col("ulat"), F.col("ulon"), c.lat_min, c.lat_max, c.lon_min, c.lon_max
-        ).alias("floor"),
-        geodesic_m(F.col("ulat"), F.col("ulon"), c.member.lat, c.member.lon).alias("reach"),
-    ))
-    seen = opened.withColumn("seen", child)
+    here = ("phi", "cos_phi", "lam")
+    floor = box_distance_floor_m(*here, "c.lat_min", "c.lat_max", "c.lon_min", "c.lon_max")
+    ceiling = distance_ceiling_m(*here, "c.lat_min", "c.member_cos", "c.member_lon")
+    seen = opened.selectExpr(
+        "*", "radians(ulat) phi", "cos(radians(ulat)) cos_phi", "radians(ulon) lam"
+    ).selectExpr(
+        "ulat", "ulon", "leaves", "reach",
+        f"""transform(children, c -> named_struct('cell', c.cell, 'leaf', c.leaf,
+            'floor', {floor}, 'ceiling', {ceiling})) seen""",
+    )
     # Drop what is out of reach before the shuffle by point.
-    seen = seen.withColumn("reach", F.least("reach", F.array_min(F.transform("seen", lambda c: c.reach))))
-    seen = seen.withColumn("seen", F.filter("seen", lambda c: c.floor <= F.col("reach")))
+    seen = seen.selectExpr(
+        "ulat", "ulon", "leaves", "seen",
+        "least(reach, array_min(transform(seen, c -> c.ceiling))) reach",
+    ).withColumn("seen", F.expr("filter(seen, c -> c.floor <= reach)"))
     merged = seen.groupBy("ulat", "ulon").agg(
         F.min("reach").alias("reach"),
         F.flatten(F.collect_list("seen")).alias("seen"),
         F.first("leaves").alias("leaves"),
-    )
-    near = merged.withColumn("seen", F.filter("seen", lambda c: c.floor <= F.col("reach")))
-    new_leaves = F.transform(
-        F.filter("seen", lambda c: c.leaf),
-        lambda c: F.struct(F.lit(level).alias("level"), c.cell.alias("cell"), c.floor.alias("floor")),
-    )
-    return near.select(
+    ).withColumn("seen", F.expr("filter(seen, c -> c.floor <= reach)"))
+    return merged.selectExpr(
         "ulat", "ulon", "reach",
-        F.transform(F.filter("seen", lambda c: ~c.leaf), lambda c: c.cell).alias("open"),
-        F.filter(F.concat("leaves", new_leaves), lambda c: c.floor <= F.col("reach")).alias("leaves"),
+        "transform(filter(seen, c -> not c.leaf), c -> c.cell) open",
+        f"""filter(concat(leaves, transform(filter(seen, c -> c.leaf),
+            c -> named_struct('level', {level}, 'cell', c.cell, 'floor', c.floor))),
+            c -> c.floor <= reach) leaves""",
     )
 
 
