@@ -19,6 +19,7 @@ the next poll tries again.
 
 from __future__ import annotations
 
+import io
 import json
 import sys
 import time
@@ -48,18 +49,24 @@ class PagesPartition(InputPartition):
 
 @dataclass
 class FilePartition(InputPartition):
-    path: str
+    folder: str
+    name: str
+
+
+def _open(address: str):
+    """File system and path of an address; a bare path is a local one."""
+    from pyarrow import fs
+
+    if address.startswith("file:"):
+        address = address.removeprefix("file:").removeprefix("//")
+    return fs.FileSystem.from_uri(address) if "://" in address else (fs.LocalFileSystem(), address)
 
 
 def _files(address: str):
     """File system and data files at an address; a folder stands for its files."""
     from pyarrow import fs
 
-    if "://" not in address and not address.startswith("file:"):
-        address = f"file://{address}"
-    elif address.startswith("file:/") and not address.startswith("file://"):
-        address = "file://" + address[len("file:"):]
-    system, path = fs.FileSystem.from_uri(address)
+    system, path = _open(address)
     info = system.get_file_info(path)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(address)
@@ -101,7 +108,7 @@ class _Pages:
         """Pages up to the total count the first page states."""
         if self.path:
             try:
-                return [FilePartition(f"{self.path}#{i}") for i in range(len(_files(self.path)[1]))]
+                return [FilePartition(self.path, name) for name in _files(self.path)[1]]
             except FileNotFoundError:
                 return []
         try:
@@ -116,7 +123,7 @@ class _Pages:
 
     def rows(self, partition: InputPartition) -> Iterator[tuple]:
         if isinstance(partition, FilePartition):
-            yield from self._saved(partition.path)
+            yield from self._saved(partition)
             return
         for offset in partition.offsets:
             try:
@@ -124,13 +131,9 @@ class _Pages:
             except Exception as error:
                 yield offset, None, f"{type(error).__name__}: {error}"
 
-    def _saved(self, name: str) -> Iterator[tuple]:
-        import io
-
-        folder, index = name.rsplit("#", 1)
+    def _saved(self, partition: FilePartition) -> Iterator[tuple]:
         try:
-            system, names = _files(folder)
-            with system.open_input_stream(names[int(index)]) as stream:
+            with _open(partition.folder)[0].open_input_stream(partition.name) as stream:
                 for line in io.TextIOWrapper(stream, encoding="utf-8"):
                     if line.strip():
                         yield None, line.rstrip("\n"), None
