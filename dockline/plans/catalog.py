@@ -183,6 +183,12 @@ def q_latest_snapshot(spark, sf):
     return rows.select("event_id", "stationcode", "ebike", "mechanical", "numdocksavailable")
 
 
+@query
+def q_latest_per_station(spark, sf):
+    rows = snapshot.latest_snapshot(reports(spark, sf), "poll_ts", ["event_id"])
+    return rows.select("event_id", "stationcode", "ebike", "mechanical", "numdocksavailable")
+
+
 @query
 def q_empty_input(spark, sf):
     return kpi.kpis(stations(spark, sf).where("capacity < 0"))

@@ -114,6 +114,9 @@ ORACLE: dict[str, str] = {
         code_insee_commune, is_full, type_dominant, null::varchar name_custom from st""",
     "latest_snapshot": WITH + """select event_id, stationcode, ebike, mechanical, numdocksavailable
         from reports where poll_ts = (select max(poll_ts) from reports)""",
+    "latest_per_station": WITH + """select event_id, stationcode, ebike, mechanical, numdocksavailable
+        from (select *, row_number() over (partition by stationcode order by event_id desc) rn
+              from reports where poll_ts = (select max(poll_ts) from reports)) where rn = 1""",
     "empty_input": kpi(
         f"nb_stations, nb_full, nb_empty, nb_active, {TOTALS}, nb_stations - nb_active nb_inactive, "
         f"{RATES}, {PERCENT}", "(select * from st where capacity < 0)"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +32,34 @@ def write_snapshots(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def latest_snapshot(df: DataFrame, time: str = "timestamp") -> DataFrame:
+def latest_snapshot(
+    df: DataFrame, time: str = "timestamp", tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """The rows of the newest poll.
 
     The maximum is a scalar subquery: it runs first over the one column, and
     its value reaches the scan as a filter, which skips older files and row
-    groups.
+    groups. Over a history partitioned by day, filter df to the last days
+    before the call.
+
+    All polls of one micro-batch share their time. `tiebreak` names columns,
+    such as the topic offset, by which only the newest row per station stays.
+    """
+    newest = df.where(F.col(time) == df.agg(F.max(time)).scalar())
+    return newest_per_station(newest, tiebreak) if tiebreak else newest
+
+
+def newest_per_station(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The row with the greatest `order` columns of each station.
+
+    An aggregate rather than a window: it combines before the shuffle, so a
+    station with very many rows sends one row per task.
     """
-    return df.where(F.col(time) == df.agg(F.max(time)).scalar())
+    rest = [c for c in df.columns if c != "stationcode"]
+    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("row")
+    return df.groupBy("stationcode").agg(newest).select(
+        *[F.col(f"row.{c}").alias(c) if c != "stationcode" else c for c in df.columns]
+    )
 
 
 def latest_file(df: DataFrame) -> DataFrame:

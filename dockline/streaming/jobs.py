@@ -50,19 +50,21 @@ def with_ingest_date(rows: DataFrame) -> DataFrame:
 
 
 def write_kpis(
-    rows: DataFrame, path: str, checkpoint: str, snapshot_time: str | None = None
+    rows: DataFrame, path: str, checkpoint: str,
+    snapshot_time: str | None = None, tiebreak: Sequence[str] = (),
 ) -> DataStreamWriter:
     """Per micro-batch, area measures and indicators.
 
     Writes Parquet to `<path>/area/batch_id=N` and `<path>/kpi/batch_id=N`. A
     batch that runs again overwrites its own folders. With `snapshot_time`
-    only the newest poll of a batch counts. The batch is read once: the
+    only the newest poll of a batch counts, told apart by `tiebreak` where a
+    batch holds several of the same time. The batch is read once: the
     indicators are summed from the few area rows just written.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if snapshot_time is not None:
-            batch = latest_snapshot(batch, snapshot_time)
+            batch = latest_snapshot(batch, snapshot_time, tiebreak)
         area, total = (f"{path}/{kind}/batch_id={batch_id}" for kind in ("area", "kpi"))
         measures = kpi.counters(batch, "arrondissement")
         measures.write.mode("overwrite").parquet(area)

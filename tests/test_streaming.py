@@ -77,7 +77,7 @@ def test_kpis_of_the_newest_poll_only(spark, log, tmp_path):
     polled = F.timestamp_seconds(F.when(F.col("offset") <= 3, 100).otherwise(200))
     rows = transform(topic.stream_log(spark, path), ingest_time=polled, keep=["offset"])
     out = str(tmp_path / "out")
-    jobs.drain(jobs.write_kpis(rows, out, f"{out}-ck", snapshot_time="timestamp"))
+    jobs.drain(jobs.write_kpis(rows, out, f"{out}-ck", "timestamp", ["offset"]))
     assert spark.read.parquet(f"{out}/kpi").first().nb_stations == 5
 
 
@@ -94,6 +94,15 @@ def test_latest(spark, stations, tmp_path):
     assert [r.stationcode for r in newest.select("stationcode").collect()] == ["b"]
 
 
+def test_newest_row_per_station(spark):
+    rows = spark.createDataFrame([
+        ("1", 10, 0, 5, None), ("1", 10, 0, 7, 1), ("2", 10, 0, 6, 3), ("1", 9, 1, 99, 4), (None, 10, 0, 1, 5)
+    ], "stationcode string, timestamp int, partition int, offset int, ebike int")
+    got = snapshot.latest_snapshot(rows, tiebreak=["partition", "offset"])
+    assert got.columns == rows.columns
+    assert {(r.stationcode, r.offset, r.ebike) for r in got.collect()} == {("1", 7, 1), ("2", 6, 3), (None, 1, 5)}
+
+
 def test_no_input(spark, tmp_path):
     for path in (tmp_path, tmp_path / "missing"):
         rows = snapshot.read_snapshots(spark, str(path))
