@@ -51,4 +51,4 @@ def make_envelopes(df: DataFrame, page: Column, total: Column | None = None) ->
 
 def page_of(key: Column, size: int = PAGE_SIZE) -> Column:
     """Page number of a dense integer key."""
-    return F.floor(key.cast("long") / F.lit(size))
+    return F.call_function("div", key.cast("long"), F.lit(size))

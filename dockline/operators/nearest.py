@@ -184,9 +184,7 @@ def _nearest_in_leaves(
     state: DataFrame, levels: list[tuple[DataFrame, Column, DataFrame]]
 ) -> DataFrame:
     """Compare each point with the places of its remaining leaves."""
-    leaves = state.select("ulat", "ulon", F.explode("leaves").alias("leaf")).select(
-        "ulat", "ulon", "leaf.level", "leaf.cell"
-    )
+    leaves = state.selectExpr("ulat", "ulon", "reach", "inline(leaves)").drop("floor")
     members = None
     for level, (cells, cell, gridded) in enumerate(levels, start=1):
         in_leaf = gridded.withColumn("cell", cell).join(
@@ -196,6 +194,8 @@ def _nearest_in_leaves(
     distance = geodesic_m(F.col("ulat"), F.col("ulon"), F.col("lat"), F.col("lon"))
     return (
         leaves.join(members, ["level", "cell"]).withColumn("distance_m", distance)
+        # Leaves few rows to compare; the nearest is never beyond reach.
+        .where("distance_m <= reach")
         .groupBy("ulat", "ulon").agg(F.min(F.struct(*BEST)).alias("best"))
         .select("ulat", "ulon", "best.*")
     )

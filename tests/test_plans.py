@@ -68,6 +68,11 @@ def test_core_stays_in_the_jvm(spark):
         assert "Python" not in executed(catalog.QUERIES[name](spark, SF_DIR)), name
 
 
+def test_queries_parse_real_json(spark):
+    for name in ("sum_by_area", "parse_station", "explode_results", "make_envelope"):
+        assert "from_json" in executed(catalog.QUERIES[name](spark, SF_DIR)), name
+
+
 def test_parse_declares_only_what_it_selects(spark):
     messages = spark.createDataFrame([("{}",)], "value string")
     assert "station_opening_hours" not in executed(transform(messages))
