@@ -91,6 +91,16 @@ def box_distance_floor_m(
     return f"least({angle}, {FLOOR_ANGLE}D) * {MIN_CURVATURE_M * (1 - BOUND_SLACK)}D - {BOUND_SLACK_M}D"
 
 
+def reach_degrees(metres: str, cos_lat: str) -> tuple[str, str]:
+    """SQL for the gaps in latitude and longitude, in degrees, beyond which
+    box_distance_floor_m exceeds the given metres. 180 or more means anywhere."""
+    angle = f"(({metres} + {BOUND_SLACK_M}D) / {MIN_CURVATURE_M * (1 - BOUND_SLACK)}D * {1 + 1e-9}D)"
+    sine = f"sin(least({angle}, pi() / 2))"
+    dlat = f"if({angle} >= {FLOOR_ANGLE}D, 360D, degrees({angle}))"
+    dlon = f"if({sine} >= {cos_lat}, 360D, degrees(asin({sine} / {cos_lat})))"
+    return dlat, dlon
+
+
 def route_geometry(ulat: Column, ulon: Column, lat: Column, lon: Column) -> Column:
     """Straight route as [[lon, lat], [lon, lat]], user first."""
     return F.array(F.array(ulon, ulat), F.array(lon, lat))

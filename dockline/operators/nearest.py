@@ -1,26 +1,35 @@
 """Distance to stations and the nearest station.
 
 For many points the stations form a tree of square cells: each cell that holds
-more than LEAF_SIZE places is cut into 8 x 8 smaller ones. The points then walk
-down the tree together, one equi-join per level, and keep only the cells that
-can still hold their nearest place. The work per point depends on the depth of
-the tree, not on how many stations share a cell, so a crowded cell costs no
-more than a sparse one, and no step pairs all points of a cell with all of its
-stations. The result is exact.
+more than LEAF_SIZE places is cut into 8 x 8 smaller ones. A point first looks
+up the cells it lies in, which bounds the distance to its nearest place. Then
+all points walk down the tree together, one equi-join per level, into the cells
+within that bound. The work per point depends on the depth of the tree, not on
+how many stations share a cell, so a crowded cell costs little more than a
+sparse one, and no step pairs all points of a cell with all of its stations.
+The result is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockline.functions.geo import box_distance_floor_m, distance_ceiling_m, geodesic_m
+from dockline.functions.geo import (
+    box_distance_floor_m,
+    distance_ceiling_m,
+    geodesic_m,
+    reach_degrees,
+)
 from dockline.session import materialize
 
 LEAF_SIZE = 64
 GRID_BITS = 30
 LEVEL_BITS = 3
 MAX_LEVEL = GRID_BITS // LEVEL_BITS
+GRID_MAX = (1 << GRID_BITS) - 1
 BEST = ("distance_m", "stationcode", "name", "lat", "lon")
 
 
@@ -62,113 +71,185 @@ def nearest_station(points: DataFrame, stations: DataFrame, leaf_size: int = LEA
     )
     places = materialize(places, "places")
     spots = _located(points, "ulat", "ulon").select("ulat", "ulon").distinct()
-    levels = _build_levels(places, leaf_size)
-    if not levels:
-        best = spots.limit(0).withColumns({
-            c: F.lit(None).cast(t) for c, t in zip(BEST, ("double", "string", "string", "double", "double"))
-        })
+    tree = _build_tree(places, leaf_size)
+    if tree is None:
+        types = ("double", "string", "string", "double", "double")
+        best = spots.limit(0).withColumns({c: F.lit(None).cast(t) for c, t in zip(BEST, types)})
     else:
-        best = _search(spots, places, levels)
+        best = _search(spots, tree)
     return points.join(best, ["ulat", "ulon"])
 
 
 # -- the tree ---------------------------------------------------------------
 
 
-def _cell(level: int) -> Column:
-    """Cell number of a place at a level, from its grid position (gx, gy)."""
+@dataclass
+class _Tree:
+    places: DataFrame
+    levels: list[DataFrame]
+    lat: tuple[float, float]
+    lon: tuple[float, float]
+
+    def grid(self, axis: str, degrees: str) -> str:
+        """SQL for the grid position of a coordinate, one beyond the grid if outside."""
+        start, end = getattr(self, axis)
+        scale = GRID_MAX / (end - start) if end > start else 0.0
+        return f"floor(least(greatest(({degrees} - {start}D) * {scale}D, -1D), {GRID_MAX + 1}D))"
+
+
+def _cell(level: int, x: str = "gx", y: str = "gy") -> str:
+    """SQL for the number of the cell at a level that holds a grid position."""
     shift = GRID_BITS - LEVEL_BITS * level
-    return F.expr(f"((gx >> {shift}) << {GRID_BITS}) | (gy >> {shift})")
+    return _pair(f"shiftright({x}, {shift})", f"shiftright({y}, {shift})")
+
+
+def _pair(x: str, y: str) -> str:
+    # Functions, as the parser takes >> after an array( for the end of a type.
+    return f"(shiftleft({x}, {GRID_BITS}) | {y})"
 
 
-def _build_levels(places: DataFrame, leaf_size: int) -> list[tuple[DataFrame, Column, DataFrame]]:
-    """Per level: the cells, their number as a column over `gridded`, and `gridded`.
+def _build_tree(places: DataFrame, leaf_size: int) -> _Tree | None:
+    """One table of cells per level; a level holds the children of crowded cells.
 
-    A level holds the children of the crowded cells above it. The driver sees
-    one row of bounds and whether a level still has crowded cells.
+    The driver sees one row of bounds, and per level whether it still has
+    crowded cells.
     """
-    low = F.struct(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
-    high = F.struct(F.max("lat").alias("lat"), F.max("lon").alias("lon"))
-    bounds = places.agg(low.alias("low"), high.alias("high")).first()
-    if bounds.low.lat is None:
-        return []
-
-    def grid(column: str) -> Column:
-        start, end = bounds.low[column], bounds.high[column]
-        side = float((1 << GRID_BITS) - 1)
-        return F.floor((F.col(column) - start) * (side / (end - start) if end > start else 0.0))
-
-    gridded = places.withColumns({"gx": grid("lon"), "gy": grid("lat")})
-    levels, open_places = [], gridded
+    bounds = places.selectExpr("min(lat)", "max(lat)", "min(lon)", "max(lon)").first()
+    if bounds[0] is None:
+        return None
+    tree = _Tree(places, [], tuple(bounds[:2]), tuple(bounds[2:]))
+    tree.places = places.selectExpr("*", f"{tree.grid('lon', 'lon')} gx", f"{tree.grid('lat', 'lat')} gy")
+    remaining = tree.places
     for level in range(1, MAX_LEVEL + 1):
-        cells = open_places.groupBy(_cell(level - 1).alias("parent"), _cell(level).alias("cell")).agg(
-            F.count("*").alias("n"),
+        cells = remaining.groupBy(F.expr(_cell(level)).alias("cell")).agg(
+            (F.expr(f"count(*) <= {leaf_size}") | F.lit(level == MAX_LEVEL)).alias("leaf"),
             F.expr("radians(min(lat)) lat_min"), F.expr("radians(max(lat)) lat_max"),
             F.expr("radians(min(lon)) lon_min"), F.expr("radians(max(lon)) lon_max"),
             # Longitude of one place at lat_min.
             F.expr("radians(min_by(lon, lat)) member_lon"),
-        )
-        cells = cells.withColumn("leaf", (F.col("n") <= leaf_size) | F.lit(level == MAX_LEVEL))
+        ).withColumn("member_cos", F.expr("cos(lat_min)"))
         cells = materialize(cells, f"cells-{level}")
-        levels.append((cells, _cell(level), gridded))
-        crowded = cells.where(~F.col("leaf")).select("cell")
+        tree.levels.append(cells)
+        crowded = cells.where("not leaf").select("cell")
         if crowded.isEmpty():
             break
-        open_places = gridded.withColumn("cell", _cell(level)).join(crowded, "cell", "left_semi").drop("cell")
-    return levels
+        remaining = (
+            tree.places.withColumn("cell", F.expr(_cell(level)))
+            .join(crowded, "cell", "left_semi").drop("cell")
+        )
+    return tree
 
 
 # -- the search -------------------------------------------------------------
 
+# Angles of a point in radians, and its distances to a cell.
+ANGLES = ("radians(ulat) phi", "cos(radians(ulat)) cos_phi", "radians(ulon) lam")
+CEILING = distance_ceiling_m("phi", "cos_phi", "lam", "lat_min", "member_cos", "member_lon")
+FLOOR = box_distance_floor_m("phi", "cos_phi", "lam", "lat_min", "lat_max", "lon_min", "lon_max")
+
 
-def _search(
-    spots: DataFrame, places: DataFrame, levels: list[tuple[DataFrame, Column, DataFrame]]
-) -> DataFrame:
+def _search(spots: DataFrame, tree: _Tree) -> DataFrame:
     # One row per point: the nearest place lies within `reach`, in one of the
     # crowded cells `open` or of the small cells `leaves`.
-    state = spots.selectExpr(
-        "ulat", "ulon", "double('inf') reach", "array(0L) open",
+    state = _first_reach(spots, tree).selectExpr(
+        "ulat", "ulon", "reach", "array(0L) open",
         "cast(array() as array<struct<level:int,cell:bigint,floor:double>>) leaves",
     )
-    for level, (cells, _, _) in enumerate(levels, start=1):
-        state = _descend(state, cells, level)
-    return _nearest_in_leaves(state, levels)
+    for level in range(1, len(tree.levels) + 1):
+        # Written per level, so that neither the plan nor what a lost executor
+        # costs grows with the depth.
+        state = materialize(_descend(state, tree, level), f"points-{level}")
+    return _nearest_in_leaves(state, tree)
+
+
+def _first_reach(spots: DataFrame, tree: _Tree) -> DataFrame:
+    """Bound the distance to the nearest place by one place of each top cell and
+    of each deeper cell that holds the point."""
+    # A single row with at most 64 cells.
+    top = tree.levels[0].groupBy(F.lit(0).alias("root")).agg(
+        F.expr("collect_list(struct(lat_min, member_cos, member_lon)) cells")
+    )
+    angles = spots.selectExpr("ulat", "ulon", *ANGLES)
+    seen = (
+        angles.withColumn("root", F.lit(0)).join(F.broadcast(top), "root")
+        .selectExpr("ulat", "ulon", "phi", "cos_phi", "lam", "inline(cells)")
+        .selectExpr("ulat", "ulon", f"{CEILING} reach")
+    )
+    if len(tree.levels) > 1:
+        inside = [
+            f"greatest(least({tree.grid(axis, f'u{axis}')}, {GRID_MAX}), 0)" for axis in ("lon", "lat")
+        ]
+        own = ", ".join(
+            f"named_struct('level', {level}, 'cell', {_cell(level)})"
+            for level in range(2, len(tree.levels) + 1)
+        )
+        deeper = None
+        for level, cells in enumerate(tree.levels[1:], start=2):
+            part = cells.select(F.lit(level).alias("level"), "cell", "lat_min", "member_cos", "member_lon")
+            deeper = part if deeper is None else deeper.unionByName(part)
+        path = angles.selectExpr("*", f"{inside[0]} gx", f"{inside[1]} gy").selectExpr(
+            "ulat", "ulon", "phi", "cos_phi", "lam", f"inline(array({own}))"
+        )
+        seen = seen.unionByName(
+            path.join(deeper, ["level", "cell"]).selectExpr("ulat", "ulon", f"{CEILING} reach")
+        )
+    return seen.groupBy("ulat", "ulon").agg(F.min("reach").alias("reach"))
+
+
+def _children_in_reach(tree: _Tree, level: int) -> str:
+    """SQL for the numbers of the children of `parent` that the reach of a point
+    touches, from its grid range `y` and its grid ranges `xs`."""
+    shift, side = GRID_BITS - LEVEL_BITS * level, 1 << LEVEL_BITS
 
+    def within(span: str, parent: str) -> str:
+        first = f"shiftleft({parent}, {LEVEL_BITS})"
+        low = f"greatest(shiftright({span}.low, {shift}), {first})"
+        high = f"least(shiftright({span}.high, {shift}), {first} + {side - 1})"
+        return f"if({low} <= {high}, sequence({low}, {high}), array())"
 
-def _descend(state: DataFrame, cells: DataFrame, level: int) -> DataFrame:
+    xs = within("r", f"shiftright(parent, {GRID_BITS})")
+    ys = within("y", f"parent & {GRID_MAX}")
+    # greatest and least skip nulls, so without a parent they would not confine
+    # the ranges.
+    return f"""if(parent is null, null, array_distinct(flatten(transform(xs, r -> flatten(
+        transform({xs}, a -> transform({ys}, b -> {_pair("a", "b")})))))))"""
+
+
+def _descend(state: DataFrame, tree: _Tree, level: int) -> DataFrame:
     """Replace each open cell by those of its children that are in reach."""
-    # At most 64 children per parent.
-    children = cells.groupBy("parent").agg(F.expr("""collect_list(struct(
-        cell, leaf, lat_min, lat_max, lon_min, lon_max, member_lon, cos(lat_min) as member_cos
-    ))""").alias("children"))
-    if level == 1:
-        # A single row with at most 64 children.
-        children = F.broadcast(children)
-    # Points with nothing open get keys that match no cell, all different ones
-    # so that they do not meet in one partition.
+    dlat, dlon = reach_degrees("reach", "cos(radians(ulat))")
+
+    def span(axis: str, centre: str, width: str) -> str:
+        # One grid step more on either side for rounding.
+        low = f"greatest({tree.grid(axis, f'{centre} - {width}')} - 1, 0)"
+        high = f"least({tree.grid(axis, f'{centre} + {width}')} + 1, {GRID_MAX})"
+        return f"named_struct('low', {low}, 'high', {high})"
+
+    # East and west may reach around the earth.
+    around = f"""filter(transform(array(-360D, 0D, 360D), turn -> {span('lon', 'ulon + turn', 'dlon')}),
+        r -> r.low <= r.high)"""
+    everywhere = f"array(named_struct('low', 0L, 'high', {GRID_MAX}L))"
     opened = (
         state.selectExpr("ulat", "ulon", "reach", "leaves", "explode_outer(open) parent")
-        .withColumn("parent", F.expr("coalesce(parent, -1 - pmod(xxhash64(ulat, ulon), 1L << 40))"))
-        .join(children, "parent", "left")
+        .selectExpr("*", f"{dlat} dlat", f"{dlon} dlon")
+        .selectExpr(
+            "ulat", "ulon", "reach", "leaves", "parent", f"{span('lat', 'ulat', 'dlat')} y",
+            f"if(dlon >= 180, {everywhere}, {around}) xs",
+        )
+        .selectExpr("ulat", "ulon", "reach", "leaves", f"explode_outer({_children_in_reach(tree, level)}) cell")
+        # Points with nothing open get keys that match no cell, all different
+        # ones so that they do not meet in one partition.
+        .withColumn("cell", F.expr(f"coalesce(cell, -1 - pmod(xxhash64(ulat, ulon), {1 << 40}))"))
     )
-    here = ("phi", "cos_phi", "lam")
-    floor = box_distance_floor_m(*here, "c.lat_min", "c.lat_max", "c.lon_min", "c.lon_max")
-    ceiling = distance_ceiling_m(*here, "c.lat_min", "c.member_cos", "c.member_lon")
-    seen = opened.selectExpr(
-        "*", "radians(ulat) phi", "cos(radians(ulat)) cos_phi", "radians(ulon) lam"
-    ).selectExpr(
-        "ulat", "ulon", "leaves", "reach",
-        f"""transform(children, c -> named_struct('cell', c.cell, 'leaf', c.leaf,
-            'floor', {floor}, 'ceiling', {ceiling})) seen""",
+    seen = (
+        opened.join(tree.levels[level - 1], "cell", "left")
+        .selectExpr("ulat", "ulon", "reach", "leaves", "cell", "leaf", "lat_min", "lat_max",
+                    "lon_min", "lon_max", "member_cos", "member_lon", *ANGLES)
+        .selectExpr("ulat", "ulon", "reach", "leaves", "cell", "leaf", f"{FLOOR} floor", f"{CEILING} ceiling")
     )
-    # Drop what is out of reach before the shuffle by point.
-    seen = seen.selectExpr(
-        "ulat", "ulon", "leaves", "seen",
-        "least(reach, array_min(transform(seen, c -> c.ceiling))) reach",
-    ).withColumn("seen", F.expr("filter(seen, c -> c.floor <= reach)"))
     merged = seen.groupBy("ulat", "ulon").agg(
-        F.min("reach").alias("reach"),
-        F.flatten(F.collect_list("seen")).alias("seen"),
+        F.expr("min(least(reach, ceiling)) reach"),
+        F.expr("collect_list(if(floor <= reach, struct(cell, leaf, floor), null)) seen"),
         F.first("leaves").alias("leaves"),
     ).withColumn("seen", F.expr("filter(seen, c -> c.floor <= reach)"))
     return merged.selectExpr(
@@ -180,16 +261,16 @@ def _descend(state: DataFrame, cells: DataFrame, level: int) -> DataFrame:
     )
 
 
-def _nearest_in_leaves(
-    state: DataFrame, levels: list[tuple[DataFrame, Column, DataFrame]]
-) -> DataFrame:
+def _nearest_in_leaves(state: DataFrame, tree: _Tree) -> DataFrame:
     """Compare each point with the places of its remaining leaves."""
     leaves = state.selectExpr("ulat", "ulon", "reach", "inline(leaves)").drop("floor")
     members = None
-    for level, (cells, cell, gridded) in enumerate(levels, start=1):
-        in_leaf = gridded.withColumn("cell", cell).join(
-            cells.where("leaf").select("cell"), "cell", "left_semi"
-        ).select(F.lit(level).alias("level"), "cell", "stationcode", "name", "lat", "lon")
+    for level, cells in enumerate(tree.levels, start=1):
+        in_leaf = (
+            tree.places.withColumn("cell", F.expr(_cell(level)))
+            .join(cells.where("leaf").select("cell"), "cell", "left_semi")
+            .select(F.lit(level).alias("level"), "cell", "stationcode", "name", "lat", "lon")
+        )
         members = in_leaf if members is None else members.unionByName(in_leaf)
     distance = geodesic_m(F.col("ulat"), F.col("ulon"), F.col("lat"), F.col("lon"))
     return (
