@@ -57,11 +57,7 @@ def code_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def as_delivered(messages: DataFrame) -> DataFrame:
-    """The messages with binary values, as a topic delivers them.
-
-    Also keeps the JSON real: Spark cancels from_json against a to_json of the
-    same schema, and with it the parsing these queries are about.
-    """
+    """The messages with binary values, as a topic delivers them."""
     return messages.withColumn("value", F.col("value").cast("binary"))
 
 
