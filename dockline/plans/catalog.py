@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockline import schemas
-from dockline.functions import geo, station, text
-from dockline.operators import envelope, filters, geocode, kpi, nearest, parse
-from dockline.operators import enrich
+from dockline.functions import station, text
+from dockline.operators import enrich, envelope, filters, geocode, kpi, nearest, parse
 from dockline.plans import board, ingest, views
 from dockline.session import scratch_dir
 from dockline.sources import lookup, poll, snapshot, topic
@@ -115,9 +114,9 @@ def q_poll_errors(spark, sf):
     folder = scratch_dir(spark, "pages")
     page = envelope.page_of(F.col("stationcode"), limit)
     pages = envelope.make_envelopes(stations(spark, sf), page, F.lit(total))
-    # Every seventh page but the first is missing, as if its request failed.
+    # Pages 3, 10, 17, ... are missing, as if their requests failed.
     (
-        pages.where((F.col("page") % 7 != 3))
+        pages.where(F.col("page") % 7 != 3)
         .select((F.col("page") * limit).alias("offset"), "value")
         .write.partitionBy("offset").text(folder)
     )
