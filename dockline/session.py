@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +29,28 @@ def build_session(app: str = "dockline", master: str | None = None, **conf) -> S
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A new, unused path in the shared folder named by spark.checkpoint.dir."""
-    base = spark.conf.get("spark.checkpoint.dir", "")
+    """A new, unused path in the folder that all executors share.
+
+    That is the folder of spark.checkpoint.dir, or the one set by
+    SparkContext.setCheckpointDir; without either this raises.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="dockline-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/dockline/{tag}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session's shared folder.
+
+    For use between jobs: DataFrames that still read such a table fail afterwards.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/dockline")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back.
 
