@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockline.llm import bpe, quality, warc
+from dockline.llm import bpe, minhash, quality, warc
 from dockline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf, "documents"), vocabulary())
 
 
+@query
+def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return minhash.near_duplicates(read_table(spark, sf, "documents"))
+
+
 @query
 def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written to WARC archives and read back."""
