@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockline.llm import bpe, minhash, quality, warc
+from dockline.llm import bpe, decontaminate, minhash, quality, warc
 from dockline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     forest = quality.fit(docs, read_table(spark, sf, "labels"))
     return quality.score_rules(docs, forest, ["doc_id"])
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Every benchmark item that a document holds."""
+    return decontaminate.find(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
