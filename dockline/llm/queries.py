@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, minhash, quality, warc
+from dockline.llm import bpe, decontaminate, minhash, quality, secrets, warc
 from dockline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,18 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf, "documents"), vocabulary())
 
 
+@query
+def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of every document, by pattern and by character models."""
+    docs = read_table(spark, sf, "documents")
+    found = secrets.scan(docs, secrets.fit(secrets.samples(docs)), ["doc_id"])
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "n_markov",
+        F.sha2(secrets.spans_text(F.col("found"), base_only=True), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("found")).alias("spans"),
+    )
+
+
 @query
 def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
     """The class of near duplicates of every document."""
