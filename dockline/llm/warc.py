@@ -1,7 +1,7 @@
 """WARC archives: records written from pages, and a salvage reader.
 
-Archives are plain WARC/1.1 files, written through Spark's text writer with
-the record end as line end, so any file system that Spark knows will do.
+Archives are compressed WARC/1.1 files, written through Spark's text writer
+with the record end as line end, so any file system that Spark knows will do.
 The reader checks every record (version line, length, record end, digest).
 After a failed check it looks for the next version line, or in compressed
 archives for the next member that inflates, reads on from there and reports
@@ -80,12 +80,15 @@ def record_text(row: DataFrame) -> Column:
     return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
-    """Write a record per row; tasks write archives of ARCHIVE_RECORDS records at most."""
+def write_archives(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Write a record per row; tasks write archives of ARCHIVE_RECORDS records at most.
+
+    An archive is one gzip member, or plain with compression "none".
+    """
     out = records(pages)
     (
         out.select(record_text(out).alias("value")).write.mode("errorifexists")
-        .option("lineSep", END).option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+        .option("lineSep", END).option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", compression).text(path)
     )
 
 
@@ -112,7 +115,8 @@ def read_archives(spark, path: str) -> DataFrame:
     return files.mapInPandas(run, RECORD_SCHEMA)
 
 
-_LINE = re.compile(rb"(?:\A|(?<=\n))WARC/\d\.\d\r\n")
+# a version line with a header line after it; after a cut it may follow any byte
+_LINE = re.compile(rb"WARC/\d\.\d\r\n(?=[A-Za-z-]+:)")
 _GZIP = b"\x1f\x8b\x08"
 
 
@@ -149,33 +153,37 @@ def _plain(data: bytes, at: int, end: int) -> Iterator[tuple]:
 def _members(data: bytes) -> Iterator[tuple]:
     at, broken, why = 0, None, None
     while at < len(data):
-        plain, stop = _inflate(data, at)
-        if plain is None:
-            broken, why = (at, "member does not inflate") if broken is None else (broken, why)
+        plain, stop, whole = _inflate(data, at)
+        rows = list(_plain(plain, 0, len(plain)))
+        if not whole:
+            rows = [r for r in rows if r[0] == "record"]
+            if broken is None or rows:
+                if broken is not None:
+                    yield _gap(broken, at, why)
+                broken, why = at, "member does not inflate" if not rows else "member breaks off"
             found = data.find(_GZIP, at + 1)
-            at = found if found >= 0 else len(data)
-            continue
-        if broken is not None:
+            stop = found if found >= 0 else len(data)
+        elif broken is not None:
             yield _gap(broken, at, why)
             broken = None
-        for row in _plain(plain, 0, len(plain)):
+        for row in rows:
             yield (row[0], at, stop, *row[3:])
         at = stop
     if broken is not None:
         yield _gap(broken, len(data), why)
 
 
-def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes | None, int]:
-    """The member that starts at `at` and where it stops; None if it is broken."""
+def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, bool]:
+    """What the member that starts at `at` holds, where it stops, and whether it is whole."""
     inflater, parts, view = zlib.decompressobj(31), [], memoryview(data)
     while at < len(data) and not inflater.eof:
         piece = view[at : at + step]
         try:
             parts.append(inflater.decompress(piece))
         except zlib.error:
-            return None, at
+            return b"".join(parts), at, False
         at += len(piece) - len(inflater.unused_data)
-    return (b"".join(parts), at) if inflater.eof else (None, at)
+    return b"".join(parts), at, inflater.eof
 
 
 def _gap(start: int, stop: int, why: str) -> tuple:
@@ -194,6 +202,8 @@ def _record(data: bytes, at: int, end: int) -> tuple[tuple | None, int, str]:
         name, colon, value = line.partition(b":")
         if not colon:
             return None, at, "header line without a name"
+        if name.strip().lower() in head:
+            return None, at, "header field twice"
         head[name.strip().lower()] = value.strip().decode("utf-8", errors="replace")
     size = head.get(b"content-length", "")
     if not size.isdigit():
