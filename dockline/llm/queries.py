@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, minhash, quality, secrets, warc
+from dockline.llm import bpe, decontaminate, minhash, quality, secrets, toxicity, warc
 from dockline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,13 @@ def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf, "documents"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Severity of every document."""
+    docs = read_table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf, "labels")), ["doc_id"])
+
+
 @query
 def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written to WARC archives and read back."""
