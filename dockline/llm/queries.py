@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, minhash, quality, secrets, toxicity, warc
+from dockline.llm import bpe, decontaminate, licences, minhash, pii, quality, secrets, toxicity, warc
 from dockline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,15 @@ def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_pages(read_table(spark, sf, "pages")).drop("url")
 
 
+@query
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with surrogates for its personal data.
+
+    A fixed key keeps the result repeatable; a deployment passes its own secret.
+    """
+    return pii.replace(read_table(spark, sf, "documents"), "op7", ["doc_id"])
+
+
 @query
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Rule statistics and the verdict of an isolation forest."""
@@ -70,6 +79,16 @@ def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_rules(docs, forest, ["doc_id"])
 
 
+@query
+def op9_licences(spark: SparkSession, sf: str) -> DataFrame:
+    """Licences named in every document, with their number."""
+    found = licences.scan(read_table(spark, sf, "documents"), ["doc_id"])
+    name = F.array_join(F.transform("licences", lambda x: x["licence"]), ",")
+    best = F.array_max(F.transform("licences", lambda x: x["dice"]))
+    line = F.array_min(F.transform("licences", lambda x: x["line"]))
+    return found.select("doc_id", name.alias("licences"), best.alias("dice"), line.alias("line"))
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark item that a document holds."""
