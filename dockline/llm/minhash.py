@@ -7,10 +7,12 @@ them until a point is early enough to matter, and only then split in halves.
 A register keeps its earliest point, so two texts agree on a register with
 the probability of their weighted Jaccard similarity.
 
-Registers are banded. Texts in one bucket are compared with the bucket's
-leaders first; the links found are closed to classes. What a bucket still
-holds of different classes is compared in a second pass, so no link among
-candidates is lost, while a bucket of many copies costs one comparison each.
+Registers are banded. Texts in one bucket are compared with the bucket's most
+connected text first; the links found are closed to classes. Then those
+outside a bucket's largest class are compared with one text of that class,
+and what still is outside with all texts of the bucket that a finer sketch
+does not rule out. So no link between classes is lost, while a bucket of many
+copies costs one or two comparisons each.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # A pair of similarity 0.8 shares no band with probability 3e-6.
 BANDS, ROWS = 32, 5
-# Orders in which buckets choose their leader; each gives a text another leader at most.
-ORDERS = 4
+# Registers of the sketches that rule out pairs in the last pass; it loses a pair of similarity 0.8 with probability 2e-8.
+FINE = 1024
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -203,34 +205,50 @@ def _placed(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataF
         docs[doc_id].cast("bigint").alias("_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("_text")
     ).withColumn("_node", F.xxhash64("_text"))
     rows = materialize(sketch(base, "_text"), "sketch")
-    buckets = materialize(
-        rows.groupBy("_node").agg(F.first("weight").alias("weight"), F.first("buckets").alias("buckets"))
-        .select(F.col("_node").alias("node"), "weight", F.posexplode("buckets").alias("band", "bucket")),
-        "buckets",
-    )
-    order = F.struct(F.xxhash64("node", F.col("band") % ORDERS).alias("o"), "node", "weight")
-    leaders = buckets.groupBy("bucket").agg(F.min(order).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = materialize(
-        buckets.join(leaders, "bucket").where("node <> leader.node")
-        .where(_near("weight", "leader.weight", similarity))
-        .select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct(),
-        "first-pairs",
-    )
+    buckets = rows.groupBy("_node").agg(F.first("weight").alias("weight"), F.first("buckets").alias("buckets")).select(
+        F.col("_node").alias("node"), "weight", F.explode("buckets").alias("bucket"))
+    buckets = materialize(buckets, "buckets")
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(buckets.join(sizes, "bucket"), "shared")
+
+    # first, everyone against its buckets' most connected text
+    central = shared.groupBy("node").agg(F.sum("n").alias("reach"))
+    leaders = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node", "weight")).alias("leader"))
+    first = materialize(_led(shared, leaders, similarity), "first-pairs")
     links = materialize(similarities(first, _texts(base, first), similarity), "first-links")
     classes = materialize(components(links), "first-classes")
 
-    own = buckets.join(classes, "node", "left").withColumn("class", F.coalesce("label", "node")).drop("label")
-    mixed = own.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    open_ = own.join(mixed.select("bucket"), "bucket", "left_semi").select("bucket", "node", "weight", "class")
-    other = open_.select("bucket", F.col("node").alias("n2"), F.col("weight").alias("w2"), F.col("class").alias("c2"))
-    second = materialize(
-        open_.join(other, "bucket").where(F.col("class") < F.col("c2")).where(_near("weight", "w2", similarity))
-        .select(F.least("node", "n2").alias("a"), F.greatest("node", "n2").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti"),
-        "second-pairs",
-    )
-    more = materialize(similarities(second, _texts(base, second), similarity), "second-links")
-    classes = materialize(components(links.unionByName(more)), "classes") if more.limit(1).count() else classes
+    # then, those of other classes against any text of the bucket's largest class
+    own = _with_class(shared, classes)
+    main = own.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(
+        F.xxhash64("node", "bucket").alias("o"), "node", "weight")).alias("leader")).groupBy("bucket").agg(
+        F.max(F.struct("n", "class", "leader")).alias("main"), F.count(F.lit(1)).alias("classes")
+    ).where("classes > 1").select("bucket", F.col("main.class").alias("main"), F.col("main.leader").alias("leader"))
+    second = _led(own.join(main.select("bucket", "main"), "bucket").where("class <> main"), main, similarity)
+    second = materialize(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
+    links = links.unionByName(materialize(similarities(second, _texts(base, second), similarity), "second-links"))
+    classes = materialize(components(links), "second-classes")
+
+    # last, what is left in other classes against all of the bucket whose sketch does not rule it out
+    own = _with_class(shared, classes)
+    main = own.groupBy("bucket", "class").count().groupBy("bucket").agg(
+        F.max(F.struct("count", "class")).alias("main"), F.count(F.lit(1)).alias("classes")
+    ).where("classes > 1").select("bucket", F.col("main.class").alias("main"))
+    open_ = materialize(own.join(main, "bucket"), "open")
+    fine = materialize(_fine(_texts(base, open_.select(F.col("node").alias("a"), F.col("node").alias("b")))), "fine")
+    rest = open_.join(fine, "node")
+    other = rest.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("node", "weight", "class", "buckets", "planes")))
+    third = rest.where("class <> main").join(other, "bucket").where(
+        # of two texts outside the largest class each pair counts once
+        (F.col("class") != F.col("class2")) & ((F.col("class2") == F.col("main")) | (F.col("class") < F.col("class2")))
+        & _near("weight", "weight2", similarity)
+        & (F.get(F.array_intersect("buckets", "buckets2"), F.lit(0)) == F.col("bucket"))
+        & _alike("planes", "planes2", similarity)
+    ).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    third = materialize(third.join(first.unionByName(second), ["a", "b"], "left_anti"), "third-pairs")
+    more = materialize(similarities(third, _texts(base, third), similarity), "third-links")
+    if not more.isEmpty():
+        classes = materialize(components(links.unionByName(more)), "classes")
 
     placed = rows.select("_id", "_node").join(classes.withColumnRenamed("node", "_node"), "_node", "left").select(
         "_id", "_node", F.coalesce("label", "_node").alias("_class")
@@ -253,6 +271,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
+def _led(members: DataFrame, leaders: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs of members and their buckets' leaders, if their sizes allow the similarity."""
+    pairs = members.join(leaders.select("bucket", "leader"), "bucket").where("node <> leader.node")
+    return pairs.where(_near("weight", "leader.weight", similarity)).select(
+        F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+
+
+def _with_class(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    return shared.drop("n").join(classes, "node", "left").withColumn("class", F.coalesce("label", "node")).drop("label")
+
+
+def _fine(texts: DataFrame) -> DataFrame:
+    """Per node its buckets, and two bits of each of FINE registers."""
+    fields = [common.field("buckets", "array<bigint>"), common.field("planes", "array<bigint>")]
+
+    def work(texts):
+        doc, key, weight = shingles(texts)
+        n = len(texts)
+        code = _mix(signatures(n, doc, key, weight, FINE).view(np.uint64))
+        planes = [np.packbits((code >> np.uint64(k) & np.uint64(1)).astype(np.uint8), axis=1) for k in range(2)]
+        return {
+            "buckets": list(bands(signatures(n, doc, key, weight))),
+            "planes": list(np.concatenate(planes, axis=1).view(np.int64)),
+        }
+
+    return common.map_texts(texts.withColumnRenamed("_node", "node"), ["node"], fields, work, text="_text")
+
+
+def _alike(a: str, b: str, similarity: float):
+    """Whether two sketches differ in few enough registers; 5.5 standard deviations are left for chance."""
+    differ = (1 - similarity) * 0.75
+    most = int(FINE * differ + 5.5 * (FINE * differ * (1 - differ)) ** 0.5)
+    half = FINE // 64
+    xor = F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    either = F.zip_with(F.slice(xor, 1, half), F.slice(xor, half + 1, half), lambda x, y: x.bitwiseOR(y))
+    return F.aggregate(either, F.lit(0), lambda acc, x: acc + F.bit_count(x)) <= most
+
+
 def _near(a: str, b: str, similarity: float):
     """Multisets whose sizes differ by more cannot reach the similarity."""
     return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, licences, minhash, pii, quality, secrets, toxicity, warc
+from dockline.llm import bpe, decontaminate, licences, minhash, pii, ppm, quality, secrets, toxicity, warc
 from dockline.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,14 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf, "labels")), ["doc_id"])
 
 
+@query
+def op5_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    """Log10 probability of every document; a fifth of them is held out of training."""
+    docs = read_table(spark, sf, "documents")
+    held_out = F.crc32(docs["doc_id"].cast("string")) % 5 == 1
+    return ppm.score(docs, held_out)
+
+
 @query
 def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written to WARC archives and read back."""
