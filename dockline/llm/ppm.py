@@ -140,8 +140,8 @@ def code_lengths(suffix: tuple[int, int], gram: np.ndarray, n: np.ndarray, one:
 
     `n` are the counts of the grams, 0 for those of held-out texts only; `one`
     and `zero` the counts of every next byte after the suffix's last byte, and
-    anywhere. Escapes are estimated by method C: as often as distinct bytes
-    were seen.
+    anywhere. Escapes are estimated by method D: each distinct byte gives half
+    a count to the escape.
     """
     symbol = gram & 0xFF
     out = np.zeros(len(gram))
@@ -171,9 +171,9 @@ def code_lengths(suffix: tuple[int, int], gram: np.ndarray, n: np.ndarray, one:
         gone, gone_kinds = excluded if excluded is not None else (np.zeros(len(gram)), np.zeros(len(gram)))
         left, left_kinds = sums - gone, distinct - gone_kinds
         known = open_ & (left_kinds > 0)
-        whole = np.maximum(left + left_kinds, 1e-300)
+        whole = np.maximum(2 * left, 1e-300)
         hit = known & (seen > 0)
-        out[hit] += np.log10(seen[hit] / whole[hit])
+        out[hit] += np.log10((2 * seen[hit] - 1) / whole[hit])
         miss = known & (seen <= 0)
         out[miss] += np.log10(left_kinds[miss] / whole[miss])
         open_ &= ~hit
