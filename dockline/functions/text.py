@@ -10,18 +10,24 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
+def _degrees(column: Column) -> Column:
+    """A coordinate in plain decimals; near 0 a cast to string has an exponent."""
+    small = F.rtrim(column.cast("decimal(38,15)").cast("string"), F.lit("0"))
+    return F.when(_text(column).contains("E"), small).otherwise(_text(column))
+
+
 def directions_url(ulat: Column, ulon: Column, lat: Column, lon: Column) -> Column:
     """Link to directions from the user's point to the station."""
     return F.concat(
         F.lit("https://www.google.com/maps/dir/"),
-        _text(ulat), F.lit(","), _text(ulon), F.lit("/"), _text(lat), F.lit(","), _text(lon),
+        _degrees(ulat), F.lit(","), _degrees(ulon), F.lit("/"), _degrees(lat), F.lit(","), _degrees(lon),
     )
 
 
 def nearest_label(name: Column, distance: Column) -> Column:
-    """Message naming the nearest station; metres are cut, not rounded."""
+    """Message naming the nearest station, by nothing if it has no name; metres are cut, not rounded."""
     return F.concat(
-        F.lit("Station la plus proche : "), name, F.lit(" à "),
+        F.lit("Station la plus proche : "), F.coalesce(name, F.lit("")), F.lit(" à "),
         _text(distance.cast("long")), F.lit(" m"),
     )
 

@@ -16,23 +16,45 @@ from dockline.functions.station import UNKNOWN_DEPARTMENT
 
 
 def enrich_names(stations: DataFrame, code_lookup: DataFrame) -> DataFrame:
-    """Left join on `stationcode`; codes match exactly and are not trimmed."""
-    return stations.join(code_lookup, ["stationcode"], "left")
+    """Left join on `stationcode`; codes match exactly and are not trimmed.
+
+    A station stays one row: of a code's lookup rows the smallest counts.
+    """
+    return stations.join(one_per_key(code_lookup, "stationcode"), ["stationcode"], "left")
 
 
 def enrich_department(stations: DataFrame, department_lookup: DataFrame) -> DataFrame:
-    """Add `department` by station name, `Unknown` where the lookup has none."""
-    joined = stations.join(department_lookup, ["name"], "left")
+    """Add `department` by station name, `Unknown` where the lookup has none.
+
+    A station stays one row: of a name's lookup rows the smallest counts.
+    """
+    joined = stations.join(one_per_key(department_lookup, "name"), ["name"], "left")
     return joined.select(
         *stations.columns,
         F.coalesce("department", F.lit(UNKNOWN_DEPARTMENT)).alias("department"),
     )
 
 
+def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """The smallest row of each key; in a lookup of one value column a null gives way to any value."""
+    values = [c for c in lookup.columns if c != key]
+    if len(values) == 1:
+        return lookup.groupBy(key).agg(F.min(values[0]).alias(values[0]))
+    return lookup.groupBy(key).agg(F.min(F.struct(*values)).alias("_row")).select(key, "_row.*")
+
+
 def lookup_to_rows(objects: DataFrame, key: str = "stationcode", value: str = "name_custom") -> DataFrame:
     """JSON objects in column `value`, one row per entry.
 
-    A map column keeps a wide object away from the schema and the driver.
+    A value may hold several objects, on lines of their own. One that cannot
+    be read gives no rows; one with more text behind its first object is an
+    error. A map column keeps a wide object away from the schema and the
+    driver.
     """
-    entries = F.from_json(F.col("value"), "map<string,string>")
-    return objects.select(F.explode(entries).alias(key, value))
+    # a raw line break cannot be part of a JSON string, so it is one between objects
+    listed = F.concat(F.lit("["), F.regexp_replace("value", r"\}\s*\n\s*\{", "},{"), F.lit("]"))
+    parts = F.from_json(listed, "array<map<string,string>>")
+    first = F.from_json(F.col("value"), "map<string,string>")
+    lost = F.raise_error(F.lit("a lookup has text behind its first object")).cast("array<map<string,string>>")
+    entries = F.when(parts.isNotNull(), parts).when(first.isNotNull(), lost)
+    return objects.select(F.explode(entries).alias("_entries")).select(F.explode("_entries").alias(key, value))

@@ -27,7 +27,7 @@ def station_struct(df: DataFrame) -> Column:
 
 def single_envelopes(df: DataFrame, *keep: str) -> DataFrame:
     """One message per station row. Row-wise, so it also streams."""
-    envelope = F.struct(F.lit(1).alias("total_count"), F.array(station_struct(df)).alias("results"))
+    envelope = F.struct(F.lit(1).cast("long").alias("total_count"), F.array(station_struct(df)).alias("results"))
     return df.select(*keep, F.to_json(envelope).alias("value"))
 
 
@@ -40,9 +40,9 @@ def make_envelopes(df: DataFrame, page: Column, total: Column | None = None) ->
     """
     paged = df.select(
         page.alias("page"), station_struct(df).alias("station"),
-        (F.lit(None) if total is None else total).cast("int").alias("total"),
+        (F.lit(None) if total is None else total).cast("long").alias("total"),
     )
-    count = F.coalesce(F.max("total"), F.count("*").cast("int"))
+    count = F.coalesce(F.max("total"), F.count("*"))
     return paged.groupBy("page").agg(
         F.to_json(F.struct(count.alias("total_count"), F.collect_list("station").alias("results")))
         .alias("value")

@@ -21,10 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Point of the single-point search: the centre of the map (fixed value).
 CENTRE = (48.8566, 2.3522)
 
-# Pages of the paged-address query: at least PAGES_MIN rows each, and about
-# PAGES in all until pages reach PAGES_MAX rows.
-PAGES, PAGES_MIN, PAGES_MAX = 30, 50, 10_000
-
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
     QUERIES[function.__name__.removeprefix("q_")] = function
@@ -55,6 +51,10 @@ def code_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return views.view(spark, views.CODE_LOOKUP, customer=views.table(spark, sf, "customer"))
 
 
+def all_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return views.view(spark, views.ALL_CODES, customer=views.table(spark, sf, "customer"))
+
+
 def as_delivered(messages: DataFrame) -> DataFrame:
     """The messages with binary values, as a topic delivers them."""
     return messages.withColumn("value", F.col("value").cast("binary"))
@@ -109,11 +109,11 @@ def q_poll_source(spark, sf):
 @query
 def q_poll_errors(spark, sf):
     customers = views.table(spark, sf, "customer")
-    total = customers.count()
-    limit = min(PAGES_MAX, max(PAGES_MIN, total // PAGES))
+    total = customers.agg(F.count("*")).scalar()
+    limit = envelope.PAGE_SIZE
     folder = scratch_dir(spark, "pages")
     page = envelope.page_of(F.col("stationcode"), limit)
-    pages = envelope.make_envelopes(stations(spark, sf), page, F.lit(total))
+    pages = envelope.make_envelopes(stations(spark, sf), page, total)
     # Pages 3, 10, 17, ... are missing, as if their requests failed.
     (
         pages.where(F.col("page") % 7 != 3)
@@ -168,7 +168,7 @@ def q_stream_to_json(spark, sf):
 @query
 def q_lookup_scan(spark, sf):
     path = scratch_dir(spark, "lookup")
-    lookup.write_lookup(code_lookup(spark, sf), path)
+    lookup.write_lookup(all_codes(spark, sf), path, objects=8)
     return lookup.read_lookup(spark, path)
 
 
@@ -201,7 +201,7 @@ def q_empty_input(spark, sf):
 @query
 def q_lookup_write(spark, sf):
     path = scratch_dir(spark, "lookup")
-    lookup.write_lookup(code_lookup(spark, sf), path, entries_per_object=200)
+    lookup.write_lookup(all_codes(spark, sf), path, objects=16)
     return lookup.read_lookup(spark, path)
 
 
@@ -403,7 +403,7 @@ def q_enrich_names(spark, sf):
 
 @query
 def q_lookup_to_rows(spark, sf):
-    objects = lookup.lookup_objects(code_lookup(spark, sf), entries_per_object=100)
+    objects = lookup.lookup_objects(all_codes(spark, sf), objects=16)
     return enrich.lookup_to_rows(objects)
 
 

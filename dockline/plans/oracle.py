@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dockline.functions import geo, station
 from dockline.plans import board, views
-from dockline.plans.catalog import CENTRE, PAGES, PAGES_MAX, PAGES_MIN
+from dockline.plans.catalog import CENTRE
 from dockline.operators.envelope import PAGE_SIZE
 
 WITH = "with " + ",\n".join(
@@ -87,19 +87,19 @@ def _color() -> str:
 REPORT = """(select *, (ebike + mechanical)::int numbikesavailable,
   strftime(ts, '%Y-%m-%d %H:%M:%S.%f') duedate from reports)"""
 
-LIMIT = f"(select least({PAGES_MAX}, greatest({PAGES_MIN}, count(*) // {PAGES})) from customer)"
-
 LITERAL = {"BUILDING": "Centre", "MACHINERY": "Nord", "FURNITURE": "Sud", "HOUSEHOLD": "Est"}
 
 _AREA = """count(*) nb_stations, count(*) filter (numdocksavailable = 0) nb_full,
   count(*) filter (ebike + mechanical = 0) nb_empty, sum(ebike)::bigint total_ebike,
   sum(numdocksavailable)::bigint total_docks"""
 
+ALL_CODES = "select cast(c_custkey as varchar) stationcode, upper(c_name) name_custom from customer"
+
 ORACLE: dict[str, str] = {
     "poll_source": WITH + FEED,
-    "poll_errors": f"""select page * size page_offset, page % 7 = 3 failed from (
-        select distinct c_custkey // size page, size from (select *, {LIMIT} size from customer))""",
-    "make_envelope": WITH + f"""select page, (select count(*) from st)::int total_count,
+    "poll_errors": """select page * 100 page_offset, page % 7 = 3 failed from (
+        select distinct c_custkey // 100 page from customer)""",
+    "make_envelope": WITH + f"""select page, (select count(*) from st)::bigint total_count,
         count(*)::int stations, sum(ebike)::bigint ebikes
         from (select *, stationcode::bigint // {PAGE_SIZE} page from st) group by page""",
     "topic_write": WITH + FEED,
@@ -108,7 +108,7 @@ ORACLE: dict[str, str] = {
     "stream_to_json": WITH + f"""select stationcode, numbikesavailable, numdocksavailable, ebike, duedate,
         numdocksavailable = 0 is_full, case when ebike > mechanical then 'electrique'
         when ebike < mechanical then 'mecanique' else 'egal' end type_dominant from {REPORT}""",
-    "lookup_scan": WITH + "select * from code_lookup",
+    "lookup_scan": ALL_CODES,
     "snapshot_scan": WITH + """select stationcode, name, numbikesavailable, numdocksavailable, capacity,
         mechanical, ebike, is_installed, is_renting, is_returning, duedate, lat, lon, arrondissement,
         code_insee_commune, is_full, type_dominant, null::varchar name_custom from st""",
@@ -120,7 +120,7 @@ ORACLE: dict[str, str] = {
     "empty_input": kpi(
         f"nb_stations, nb_full, nb_empty, nb_active, {TOTALS}, nb_stations - nb_active nb_inactive, "
         f"{RATES}, {PERCENT}", "(select * from st where capacity < 0)"),
-    "lookup_write": WITH + "select * from code_lookup",
+    "lookup_write": ALL_CODES,
     "lookup_literal": "select c_custkey, c_mktsegment as name, case c_mktsegment "
         + " ".join(f"when '{k}' then '{v}'" for k, v in LITERAL.items())
         + " else 'Unknown' end department from customer",
@@ -169,7 +169,7 @@ ORACLE: dict[str, str] = {
         from st where is_empty""",
     "enrich_names": WITH + """select stationcode, name, name_custom from st
         left join code_lookup using (stationcode)""",
-    "lookup_to_rows": WITH + "select * from code_lookup",
+    "lookup_to_rows": ALL_CODES,
     "enrich_department": WITH + """select stationcode, name, coalesce(department, 'Unknown') department
         from st left join dept_lookup using (name)""",
     "geocode_join": WITH + """select user_id, us.address, lat ulat, lon ulon from us

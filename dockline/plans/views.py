@@ -44,6 +44,10 @@ select cast(c_custkey as {S}) stationcode, upper(c_name) name_custom
 from {customer} where c_custkey%2=0
 """
 
+ALL_CODES = """
+select cast(c_custkey as {S}) stationcode, upper(c_name) name_custom from {customer}
+"""
+
 DEPARTMENT_LOOKUP = """
 select c_name as name, c_mktsegment department from {customer} where c_custkey%3=0
 """

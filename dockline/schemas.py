@@ -33,7 +33,7 @@ STATION = T.StructType([
 def envelope(station: T.StructType = STATION) -> T.StructType:
     """Schema of one API response holding stations of the given schema."""
     return T.StructType([
-        T.StructField("total_count", _I),
+        T.StructField("total_count", T.LongType()),
         T.StructField("results", T.ArrayType(station)),
     ])
 

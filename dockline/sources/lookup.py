@@ -11,9 +11,6 @@ from pyspark.sql.types import StructType
 from dockline import schemas
 from dockline.operators.enrich import lookup_to_rows
 
-ENTRIES_PER_OBJECT = 10_000
-
-
 def read_lookup(
     spark: SparkSession,
     path: str,
@@ -23,8 +20,9 @@ def read_lookup(
 ) -> DataFrame:
     """Rows of `{key: value}` objects in text files.
 
-    One object per line, or with `multiline` one object per file, which then
-    has to fit into one row.
+    One object per line, or with `multiline` objects over several lines each;
+    such a file is read as one row. A text that goes on after an object on the
+    same line is an error, as its rest would be lost.
     """
     return lookup_to_rows(spark.read.text(path, wholetext=multiline), key, value)
 
@@ -40,21 +38,20 @@ def lookup_objects(
     lookup: DataFrame,
     key: str = "stationcode",
     value: str = "name_custom",
-    entries_per_object: int = ENTRIES_PER_OBJECT,
+    objects: int = 1,
 ) -> DataFrame:
-    """JSON objects in column `value`; all entries in one as long as they are few.
+    """JSON objects in column `value`: one, which one task then gathers, or as many as asked for.
 
-    A larger lookup is spread over several objects by the hash of its key,
-    so that no task gathers all of it. A key that occurs twice keeps its
+    Several objects are lines of their own, and keys are spread over them by
+    hash; a large lookup needs them. A key that occurs twice keeps its
     smallest value, as an object holds a key once.
     """
+    if objects < 1:
+        raise ValueError("at least one object is written")
     unique = lookup.groupBy(key).agg(F.min(value).alias(value))
-    objects = F.greatest(F.ceil(F.count("*") / F.lit(entries_per_object)), F.lit(1))
-    # Counting before the duplicates go costs a scan and no shuffle.
-    nr = lookup.agg(objects.alias("objects")).scalar()
     return (
         unique.where(F.col(key).isNotNull())
-        .groupBy(F.pmod(F.xxhash64(key), nr).alias("object_nr"))
+        .groupBy(F.pmod(F.xxhash64(key), F.lit(objects)).alias("object_nr"))
         .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(key, value)))).alias("value"))
         .select("value")
     )
@@ -62,5 +59,3 @@ def lookup_objects(
 
 def write_lookup(lookup: DataFrame, path: str, **options) -> None:
     lookup_objects(lookup, **options).write.text(path)
-
-

@@ -14,7 +14,8 @@ Options
 
 Rows are (page_offset, value, _error). A page that cannot be read gives one
 row with `_error` set and a null `value`; the other pages are not affected and
-the next poll tries again.
+the next poll tries again. If the first page does not state the count of
+stations in PLAN_TRIES requests, the poll is one such row for page 0.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import json
 import sys
 import time
 import urllib.request
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
@@ -38,13 +39,21 @@ from pyspark.sql.datasource import (
 FORMAT = "station_poll"
 SCHEMA = "page_offset bigint, value string, _error string"
 
+# Requests for the page count before a poll is given up.
+PLAN_TRIES = 3
+
 # Executors get the classes by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass
 class PagesPartition(InputPartition):
-    offsets: tuple[int, ...]
+    offsets: Sequence[int]
+
+
+@dataclass
+class FailedPlan(InputPartition):
+    error: str
 
 
 @dataclass
@@ -111,20 +120,26 @@ class _Pages:
                 return [FilePartition(self.path, name) for name in _files(self.path)[1]]
             except FileNotFoundError:
                 return []
-        try:
-            first = fetch(self.url.format(limit=self.limit, offset=0), self.timeout)
-            total = int(json.loads(first)["total_count"])
-        except Exception:
-            # The reader reports the failure of the first page as a row.
-            total = 1
+        for left in reversed(range(PLAN_TRIES)):
+            try:
+                first = fetch(self.url.format(limit=self.limit, offset=0), self.timeout)
+                total = int(json.loads(first)["total_count"])
+                break
+            except Exception as error:
+                # Without the count the pages are unknown; reading the first alone would lose the others unseen.
+                if not left:
+                    return [FailedPlan(f"no page count: {type(error).__name__}: {error}")]
         offsets = range(0, max(total, 1), self.limit)
         step = self.pages_per_task
-        return [PagesPartition(tuple(offsets[i:i + step])) for i in range(0, len(offsets), step)]
+        return [PagesPartition(offsets[i:i + step]) for i in range(0, len(offsets), step)]
 
     def rows(self, partition: InputPartition) -> Iterator[tuple]:
         if isinstance(partition, FilePartition):
             yield from self._saved(partition)
             return
+        if isinstance(partition, FailedPlan):
+            yield 0, None, partition.error
+            return
         for offset in partition.offsets:
             try:
                 yield offset, fetch(self.url.format(limit=self.limit, offset=offset), self.timeout), None

@@ -61,3 +61,14 @@ def test_texts(spark):
 @pytest.mark.parametrize("value", [0.0, 100.0])
 def test_percent_ends(spark, value):
     assert spark.range(1).select(text.percent_text(F.lit(value))).first()[0] == f"{value:.1f}%"
+
+
+def test_links_and_labels_at_the_edges(spark):
+    row = spark.range(1).select(
+        text.directions_url(F.lit(51.4779), F.lit(-0.0005), F.lit(51.5), F.lit(0.00012)).alias("url"),
+        text.directions_url(F.lit(0.0), F.lit(2.0), F.lit(1e-7), F.lit(-180.0)).alias("zero"),
+        text.nearest_label(F.lit(None).cast("string"), F.lit(5.0)).alias("label"),
+    ).first()
+    assert row.url.endswith("/51.4779,-0.0005/51.5,0.00012")
+    assert row.zero.endswith("/0.0,2.0/0.0000001,-180.0")
+    assert row.label == "Station la plus proche :  à 5 m"

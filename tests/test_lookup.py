@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from dockline import schemas
@@ -21,12 +22,39 @@ def test_read_one_line_and_pretty_printed(spark, tmp_path):
     assert rows(lookup.read_lookup(spark, str(many), multiline=True)) == set(ENTRIES.items())
 
 
+def test_further_objects_are_read_or_refused(spark, tmp_path):
+    (tmp_path / "two.json").write_text('{"1": "a } {"}\n\n{"2": "b",\n "3": "c"}\n')
+    assert rows(lookup.read_lookup(spark, str(tmp_path / "two.json"), multiline=True)) == {("1", "a } {"), ("2", "b"), ("3", "c")}
+    (tmp_path / "one.json").write_text('{"1": "a"} {"2": "b"}')
+    for multiline in (False, True):
+        with pytest.raises(Exception, match="behind its first object"):
+            lookup.read_lookup(spark, str(tmp_path / "one.json"), multiline=multiline).collect()
+
+
+@pytest.mark.parametrize("objects", [1, 4])
+def test_large_lookup_round_trips(spark, tmp_path, objects):
+    table = spark.range(30_000).selectExpr("cast(id as string) stationcode", "concat('n', id) name_custom")
+    lookup.write_lookup(table, str(tmp_path / "out"), objects=objects)
+    for multiline in (False, True):
+        assert lookup.read_lookup(spark, str(tmp_path / "out"), multiline=multiline).exceptAll(table).isEmpty()
+        assert lookup.read_lookup(spark, str(tmp_path / "out"), multiline=multiline).count() == 30_000
+
+
+def test_repeated_keys_keep_one_row_per_station(spark):
+    stations = spark.createDataFrame([("1", "x"), ("2", "y")], "stationcode string, name string")
+    codes = spark.createDataFrame([("1", "b"), ("1", "a"), ("1", None)], schemas.CODE_LOOKUP)
+    assert rows(enrich.enrich_names(stations, codes).select("stationcode", "name_custom")) == {("1", "a"), ("2", None)}
+    names = spark.createDataFrame([("x", "92"), ("x", "75")], schemas.DEPARTMENT_LOOKUP)
+    out = enrich.enrich_department(stations, names)
+    assert out.count() == 2 and rows(out.select("stationcode", "department")) == {("1", "75"), ("2", "Unknown")}
+
+
 def test_unreadable_object_gives_no_rows(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"1": "x"')
     assert rows(lookup.read_lookup(spark, str(tmp_path))) == set()
 
 
-def test_small_lookup_is_one_object(spark, tmp_path):
+def test_lookup_is_one_object_by_default(spark, tmp_path):
     table = lookup.literal_lookup(spark, ENTRIES)
     lookup.write_lookup(table, str(tmp_path / "out"))
     objects = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
@@ -36,7 +64,7 @@ def test_small_lookup_is_one_object(spark, tmp_path):
 def test_large_lookup_is_spread(spark):
     table = spark.range(1000).select(
         F.col("id").cast("string").alias("stationcode"), F.lit("n").alias("name_custom"))
-    objects = lookup.lookup_objects(table, entries_per_object=100)
+    objects = lookup.lookup_objects(table, objects=10)
     sizes = [len(json.loads(r.value)) for r in objects.collect()]
     assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 200
     assert enrich.lookup_to_rows(objects).exceptAll(table).isEmpty()

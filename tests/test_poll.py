@@ -102,3 +102,23 @@ def test_stream_polls_once_per_trigger(spark, tmp_path):
     first = spark.read.parquet(str(tmp_path / "out")).count()
     drain()
     assert (first, spark.read.parquet(str(tmp_path / "out")).count()) == (2, 4)
+
+
+def test_failed_planning_never_shortens_a_poll(monkeypatch):
+    """The first request fails once, then always: 15 pages, or one error row."""
+    left = [1]
+
+    def fetch(address, timeout):
+        if left[0] > 0:
+            left[0] -= 1
+            raise OSError("down")
+        return json.dumps({"total_count": 1447, "results": []})
+
+    monkeypatch.setattr(poll, "fetch", fetch)
+    options = {"url": "https://example.org/r?limit={limit}&offset={offset}"}
+    reader = poll.PollReader(options)
+    rows = [row for p in reader.partitions() for row in reader.read(p)]
+    assert [r[0] for r in rows] == list(range(0, 1447, 100)) and all(r[2] is None for r in rows)
+    left[0] = poll.PLAN_TRIES
+    rows = [row for p in reader.partitions() for row in reader.read(p)]
+    assert len(rows) == 1 and rows[0][:2] == (0, None) and "down" in rows[0][2]
