@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 
+from dockline import schemas
 from dockline.plans import board, ingest
 from dockline.session import build_session
 from dockline.sources import lookup, snapshot, topic
@@ -26,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--seconds", type=int, default=jobs.POLL_SECONDS)
     job.add_argument("--limit", type=int, default=100)
+    job.add_argument("--errors", help="folder for JSON rows of pages that failed")
 
     job = sub.add_parser("ingest", help="keep the station rows of a topic as JSON files")
     job.add_argument("--servers", required=True)
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"dockline-{args.job}", args.master)
     if args.job == "poll":
         ingest.poll_to_kafka(
-            spark, args.url, args.servers, args.topic, args.checkpoint, args.seconds, limit=args.limit
+            spark, args.url, args.servers, args.topic, args.checkpoint, args.seconds,
+            args.errors, limit=args.limit
         ).awaitTermination()
     elif args.job == "ingest":
         names = lookup.read_lookup(spark, args.lookup) if args.lookup else None
@@ -74,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         copied = topic.mirror(log, args.source, args.target, args.topics)
         jobs.run(topic.stream_to_kafka(copied, args.to_servers, args.checkpoint)).awaitTermination()
     elif args.job == "board":
-        newest = snapshot.latest_snapshot(snapshot.read_snapshots(spark, args.rows))
+        newest = snapshot.newest(snapshot.read_snapshots(spark, args.rows, schemas.SNAPSHOT)).persist()
         user = tuple(args.user) if args.user else None
         for name, part in board.board(newest, args.show, user).items():
             part.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")

@@ -250,6 +250,36 @@ def q_topic_offsets(spark, sf):
     return topic.topic_offsets(event_log(views.table(spark, sf, "events")))
 
 
+@query
+def q_snapshot_end_to_end(spark, sf):
+    """The newest complete poll, through topic and JSON files.
+
+    The poll of time 2000 spans two micro-batches, of which each also holds
+    pages of another poll; the last poll lacks pages.
+    """
+    out = scratch_dir(spark, "polls")
+    rows = stations(spark, sf)
+    total = views.table(spark, sf, "customer").agg(F.count("*")).scalar()
+    page = envelope.page_of(F.col("stationcode"))
+    current = envelope.make_envelopes(rows, page, total)
+    other = envelope.make_envelopes(rows.withColumn("ebike", F.col("ebike") - 1000), page, total)
+
+    def keyed(pages, polled_at):
+        key = F.concat(F.lit(f"{polled_at}:"), (F.col("page") * envelope.PAGE_SIZE).cast("string"))
+        return pages.select(key.alias("key"), "value")
+
+    batches = (
+        keyed(other, 1000).unionByName(keyed(current.where("page % 2 = 0"), 2000)),
+        keyed(current.where("page % 2 = 1"), 2000).unionByName(keyed(other.where("page % 3 = 0"), 3000)),
+    )
+    for batch in batches:
+        topic.write_log(batch, f"{out}/topic", "stations")
+        log = parse.poll_identity(topic.stream_log(spark, f"{out}/topic"))
+        jobs.drain(ingest.messages_to_json(log, f"{out}/rows", f"{out}/checkpoint", keep=parse.POLL))
+    saved = snapshot.read_snapshots(spark, f"{out}/rows", schemas.SNAPSHOT)
+    return snapshot.newest_poll(saved).select(*FEED)
+
+
 # -- projections and scalar expressions -------------------------------------
 
 

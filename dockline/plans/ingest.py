@@ -2,26 +2,47 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from dockline.operators.parse import transform
+from dockline.operators.parse import POLL, poll_identity, transform
 from dockline.sources import poll, topic
 from dockline.streaming import jobs
 
 
 def poll_to_kafka(
     spark: SparkSession, url: str, servers: str, to: str, checkpoint: str,
-    seconds: int = jobs.POLL_SECONDS, **poll_options,
+    seconds: int = jobs.POLL_SECONDS, errors_path: str | None = None, **poll_options,
 ) -> StreamingQuery:
     """Poll the API at a fixed interval and send each page to a topic.
 
-    A page that fails is left out and polled again at the next trigger.
+    A page that fails is left out, polled again at the next trigger and, with
+    `errors_path`, reported there as a JSON row.
     """
-    pages = poll.messages(poll.poll(spark, stream=True, url=url, **poll_options))
-    return jobs.run(topic.stream_to_kafka(pages, servers, checkpoint, to), seconds)
+    polled = poll.poll(spark, stream=True, url=url, **poll_options)
+    if errors_path is None:
+        return jobs.run(topic.stream_to_kafka(poll.messages(polled), servers, checkpoint, to), seconds)
+    send = functools.partial(topic.write_kafka, servers=servers, topic=to)
+    return jobs.run(split_polled(polled, send, errors_path, checkpoint), seconds)
+
+
+def split_polled(polled: DataFrame, send, errors_path: str, checkpoint: str) -> DataStreamWriter:
+    """A stream that gives the messages of each poll to `send` and appends its errors to a folder.
+
+    The batch is kept for both, or else the second would poll again.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            send(poll.messages(batch))
+            poll.errors(batch).write.mode("overwrite").json(f"{errors_path.rstrip('/')}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return polled.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def messages_to_json(
@@ -44,6 +65,6 @@ def kafka_to_json(
     code_lookup: DataFrame | None = None, seconds: int | None = None, by_date: bool = False,
     **kafka_options,
 ) -> StreamingQuery:
-    """Read a topic and keep station rows on disk until stopped."""
-    log = topic.kafka_stream(spark, servers=servers, topic=topic_name, **kafka_options)
-    return jobs.run(messages_to_json(log, path, checkpoint, code_lookup, by_date=by_date), seconds)
+    """Read a topic and keep station rows, with the poll they come from, on disk until stopped."""
+    log = poll_identity(topic.kafka_stream(spark, servers=servers, topic=topic_name, **kafka_options))
+    return jobs.run(messages_to_json(log, path, checkpoint, code_lookup, by_date=by_date, keep=POLL), seconds)

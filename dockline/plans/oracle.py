@@ -97,6 +97,7 @@ ALL_CODES = "select cast(c_custkey as varchar) stationcode, upper(c_name) name_c
 
 ORACLE: dict[str, str] = {
     "poll_source": WITH + FEED,
+    "snapshot_end_to_end": WITH + FEED,
     "poll_errors": """select page * 100 page_offset, page % 7 = 3 failed from (
         select distinct c_custkey // 100 page from customer)""",
     "make_envelope": WITH + f"""select page, (select count(*) from st)::bigint total_count,

@@ -12,7 +12,8 @@ Options
     pages_per_task  pages one task fetches, default 1
     timeout         seconds per request, default 10
 
-Rows are (page_offset, value, _error). A page that cannot be read gives one
+Rows are (page_offset, value, _error, polled_at); all pages of one poll share
+their polled_at, in milliseconds, which saved responses lack. A page that cannot be read gives one
 row with `_error` set and a null `value`; the other pages are not affected and
 the next poll tries again. If the first page does not state the count of
 stations in PLAN_TRIES requests, the poll is one such row for page 0.
@@ -37,7 +38,7 @@ from pyspark.sql.datasource import (
 )
 
 FORMAT = "station_poll"
-SCHEMA = "page_offset bigint, value string, _error string"
+SCHEMA = "page_offset bigint, value string, _error string, polled_at bigint"
 
 # Requests for the page count before a poll is given up.
 PLAN_TRIES = 3
@@ -49,11 +50,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 @dataclass
 class PagesPartition(InputPartition):
     offsets: Sequence[int]
+    polled_at: int | None = None
 
 
 @dataclass
 class FailedPlan(InputPartition):
     error: str
+    polled_at: int | None = None
 
 
 @dataclass
@@ -120,6 +123,7 @@ class _Pages:
                 return [FilePartition(self.path, name) for name in _files(self.path)[1]]
             except FileNotFoundError:
                 return []
+        now = time.time_ns() // 1_000_000
         for left in reversed(range(PLAN_TRIES)):
             try:
                 first = fetch(self.url.format(limit=self.limit, offset=0), self.timeout)
@@ -128,32 +132,32 @@ class _Pages:
             except Exception as error:
                 # Without the count the pages are unknown; reading the first alone would lose the others unseen.
                 if not left:
-                    return [FailedPlan(f"no page count: {type(error).__name__}: {error}")]
+                    return [FailedPlan(f"no page count: {type(error).__name__}: {error}", now)]
         offsets = range(0, max(total, 1), self.limit)
         step = self.pages_per_task
-        return [PagesPartition(offsets[i:i + step]) for i in range(0, len(offsets), step)]
+        return [PagesPartition(offsets[i:i + step], now) for i in range(0, len(offsets), step)]
 
     def rows(self, partition: InputPartition) -> Iterator[tuple]:
         if isinstance(partition, FilePartition):
             yield from self._saved(partition)
             return
         if isinstance(partition, FailedPlan):
-            yield 0, None, partition.error
+            yield 0, None, partition.error, partition.polled_at
             return
         for offset in partition.offsets:
             try:
-                yield offset, fetch(self.url.format(limit=self.limit, offset=offset), self.timeout), None
+                yield offset, fetch(self.url.format(limit=self.limit, offset=offset), self.timeout), None, partition.polled_at
             except Exception as error:
-                yield offset, None, f"{type(error).__name__}: {error}"
+                yield offset, None, f"{type(error).__name__}: {error}", partition.polled_at
 
     def _saved(self, partition: FilePartition) -> Iterator[tuple]:
         try:
             with _open(partition.folder)[0].open_input_stream(partition.name) as stream:
                 for line in io.TextIOWrapper(stream, encoding="utf-8"):
                     if line.strip():
-                        yield None, line.rstrip("\n"), None
+                        yield None, line.rstrip("\n"), None, None
         except Exception as error:
-            yield None, None, f"{type(error).__name__}: {error}"
+            yield None, None, f"{type(error).__name__}: {error}", None
 
 
 class PollReader(DataSourceReader):
@@ -217,10 +221,10 @@ def poll(spark, stream: bool = False, **options):
 
 
 def messages(polled):
-    """The pages that were read, as messages."""
-    return polled.where("_error IS NULL").select("value")
+    """The pages that were read, as messages; their key names the poll and the page."""
+    return polled.where("_error IS NULL").selectExpr("concat_ws(':', polled_at, page_offset) AS key", "value")
 
 
 def errors(polled):
     """The pages that were not."""
-    return polled.where("_error IS NOT NULL").select("page_offset", "_error")
+    return polled.where("_error IS NOT NULL").select("polled_at", "page_offset", "_error")

@@ -49,6 +49,25 @@ def latest_snapshot(
     return newest_per_station(newest, tiebreak) if tiebreak else newest
 
 
+def newest_poll(df: DataFrame) -> DataFrame:
+    """The rows of the newest complete poll, one per station.
+
+    A poll is complete once its rows hold as many stations as it states, be
+    they written by one micro-batch or several. Rows without a poll count for
+    nothing; without a complete poll there are none. The polls are counted in
+    one pass over three columns, and the newest is a filter on the second.
+    """
+    polls = df.where("polled_at IS NOT NULL").groupBy("polled_at").agg(
+        F.count_distinct("stationcode").alias("stations"), F.max("total_count").alias("total"))
+    newest = polls.where("stations >= total").agg(F.max("polled_at")).scalar()
+    return newest_per_station(df.where(F.col("polled_at") == newest), ["page_offset", "timestamp"])
+
+
+def newest(df: DataFrame) -> DataFrame:
+    """The newest complete poll, or the newest snapshot of a history that names no polls."""
+    return latest_snapshot(df) if df.where("polled_at IS NOT NULL").isEmpty() else newest_poll(df)
+
+
 def newest_per_station(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """The row with the greatest `order` columns of each station.
 

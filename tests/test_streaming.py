@@ -9,7 +9,7 @@ from dockline.operators import kpi
 from dockline.operators.envelope import single_envelopes
 from dockline.operators.parse import transform
 from dockline.plans import ingest
-from dockline.sources import snapshot, topic
+from dockline.sources import poll, snapshot, topic
 from dockline.streaming import jobs
 
 NO_TIME = [c for c in schemas.STATION_OUT.names if c != "timestamp"]
@@ -114,3 +114,28 @@ def test_null_columns_come_back(spark, tmp_path):
     rows.withColumn("ebike", F.lit(None).cast("int")).write.json(str(tmp_path / "out"))
     row = snapshot.read_snapshots(spark, str(tmp_path / "out")).first()
     assert row.ebike is None and row.arrondissement is None
+
+
+def poll_rows(spark, polls):
+    """(polled_at, total, stations) to rows as the sink keeps them."""
+    rows = [(code, "t", at, n, total) for at, total, codes in polls for n, code in enumerate(codes)]
+    return spark.createDataFrame(rows, "stationcode string, timestamp string, polled_at long, page_offset long, total_count long")
+
+
+def test_newest_complete_poll(spark):
+    split = poll_rows(spark, [(1, 4, "ab"), (1, 4, "cd")])
+    assert sorted(r.stationcode for r in snapshot.newest_poll(split).collect()) == ["a", "b", "c", "d"]
+    double = poll_rows(spark, [(1, 4, "abcd"), (2, 4, "abcd"), (3, 4, "ab")])
+    assert sorted((r.stationcode, r.polled_at) for r in snapshot.newest_poll(double).collect()) == [(c, 2) for c in "abcd"]
+    assert snapshot.newest_poll(poll_rows(spark, [(3, 4, "ab")])).isEmpty()
+    assert snapshot.newest_poll(poll_rows(spark, [(3, 4, "abcd"), (3, 4, "a")])).count() == 4
+
+
+def test_poll_errors_are_kept_by_the_running_job(spark, tmp_path):
+    sent = []
+    (tmp_path / "0.json").write_text('{"total_count": 20, "results": []}')
+    polled = poll.poll(spark, stream=True, url=str(tmp_path) + "/{offset}.json", limit=10)
+    writer = ingest.split_polled(polled, lambda m: sent.extend(m.collect()), str(tmp_path / "errors"), str(tmp_path / "ck"))
+    jobs.drain(writer)
+    assert len(sent) == 1 and sent[0].key.endswith(":0")
+    assert [r.page_offset for r in spark.read.json(str(tmp_path / "errors")).collect()] == [10]
