@@ -8,11 +8,10 @@ A register keeps its earliest point, so two texts agree on a register with
 the probability of their weighted Jaccard similarity.
 
 Registers are banded. Texts in one bucket are compared with the bucket's most
-connected text first; the links found are closed to classes. Then those
-outside a bucket's largest class are compared with one text of that class,
-and what still is outside with all texts of the bucket that a finer sketch
-does not rule out. So no link between classes is lost, while a bucket of many
-copies costs one or two comparisons each.
+connected text first; the links found are closed to classes. What then is
+outside a bucket's largest class is compared with all texts of the bucket that
+a finer sketch does not rule out. So no link between classes is lost, while a
+bucket of many copies costs one comparison each.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # A pair of similarity 0.8 shares no band with probability 3e-6.
 BANDS, ROWS = 32, 5
-# Registers of the sketches that rule out pairs in the last pass; it loses a pair of similarity 0.8 with probability 2e-8.
+# Registers of the sketches that rule out pairs; one loses a pair of similarity 0.8 with probability 2e-8.
 FINE = 1024
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -211,42 +210,39 @@ def _placed(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataF
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(buckets.join(sizes, "bucket"), "shared")
 
+    # the texts that share a bucket at all are fetched once; without the hint a small table of nodes would be broadcast
+    nodes = shared.select(F.col("node").alias("_node")).distinct().hint("merge")
+    texts = materialize(base.select("_node", "_text").join(nodes, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
+    fine = materialize(_fine(texts), "fine")
+
     # first, everyone against its buckets' most connected text
     central = shared.groupBy("node").agg(F.sum("n").alias("reach"))
     leaders = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node", "weight")).alias("leader"))
-    first = materialize(_led(shared, leaders, similarity), "first-pairs")
-    links = materialize(similarities(first, _texts(base, first), similarity), "first-links")
+    pairs = shared.join(leaders, "bucket").where("node <> leader.node").where(_near("weight", "leader.weight", similarity))
+    pairs = pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    planes = fine.select("node", "planes")
+    first = materialize(
+        pairs.join(planes.toDF("a", "planes"), "a").join(planes.toDF("b", "planes2"), "b")
+        .where(_alike("planes", "planes2", similarity)).select("a", "b"), "first-pairs")
+    links = materialize(similarities(first, texts, similarity), "first-links")
     classes = materialize(components(links), "first-classes")
 
-    # then, those of other classes against any text of the bucket's largest class
-    own = _with_class(shared, classes)
-    main = own.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(
-        F.xxhash64("node", "bucket").alias("o"), "node", "weight")).alias("leader")).groupBy("bucket").agg(
-        F.max(F.struct("n", "class", "leader")).alias("main"), F.count(F.lit(1)).alias("classes")
-    ).where("classes > 1").select("bucket", F.col("main.class").alias("main"), F.col("main.leader").alias("leader"))
-    second = _led(own.join(main.select("bucket", "main"), "bucket").where("class <> main"), main, similarity)
-    second = materialize(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
-    links = links.unionByName(materialize(similarities(second, _texts(base, second), similarity), "second-links"))
-    classes = materialize(components(links), "second-classes")
-
-    # last, what is left in other classes against all of the bucket whose sketch does not rule it out
-    own = _with_class(shared, classes)
+    # then, what is left outside a bucket's largest class against all of the bucket whose sketch does not rule it out
+    own = shared.drop("n").join(classes, "node", "left").withColumn("class", F.coalesce("label", "node")).drop("label")
     main = own.groupBy("bucket", "class").count().groupBy("bucket").agg(
         F.max(F.struct("count", "class")).alias("main"), F.count(F.lit(1)).alias("classes")
     ).where("classes > 1").select("bucket", F.col("main.class").alias("main"))
-    open_ = materialize(own.join(main, "bucket"), "open")
-    fine = materialize(_fine(_texts(base, open_.select(F.col("node").alias("a"), F.col("node").alias("b")))), "fine")
-    rest = open_.join(fine, "node")
+    rest = materialize(own.join(main, "bucket"), "open").join(fine, "node")
     other = rest.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("node", "weight", "class", "buckets", "planes")))
-    third = rest.where("class <> main").join(other, "bucket").where(
+    second = rest.where("class <> main").join(other, "bucket").where(
         # of two texts outside the largest class each pair counts once
         (F.col("class") != F.col("class2")) & ((F.col("class2") == F.col("main")) | (F.col("class") < F.col("class2")))
         & _near("weight", "weight2", similarity)
         & (F.get(F.array_intersect("buckets", "buckets2"), F.lit(0)) == F.col("bucket"))
         & _alike("planes", "planes2", similarity)
     ).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    third = materialize(third.join(first.unionByName(second), ["a", "b"], "left_anti"), "third-pairs")
-    more = materialize(similarities(third, _texts(base, third), similarity), "third-links")
+    second = materialize(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
+    more = materialize(similarities(second, texts, similarity), "second-links")
     if not more.isEmpty():
         classes = materialize(components(links.unionByName(more)), "classes")
 
@@ -271,17 +267,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def _led(members: DataFrame, leaders: DataFrame, similarity: float) -> DataFrame:
-    """The distinct pairs of members and their buckets' leaders, if their sizes allow the similarity."""
-    pairs = members.join(leaders.select("bucket", "leader"), "bucket").where("node <> leader.node")
-    return pairs.where(_near("weight", "leader.weight", similarity)).select(
-        F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
-
-
-def _with_class(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    return shared.drop("n").join(classes, "node", "left").withColumn("class", F.coalesce("label", "node")).drop("label")
-
-
 def _fine(texts: DataFrame) -> DataFrame:
     """Per node its buckets, and two bits of each of FINE registers."""
     fields = [common.field("buckets", "array<bigint>"), common.field("planes", "array<bigint>")]
@@ -314,12 +299,6 @@ def _near(a: str, b: str, similarity: float):
     return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b)
 
 
-def _texts(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The text of every node that takes part in a pair."""
-    nodes = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
-    return materialize(base.select("_node", "_text").join(nodes, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
-
-
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, with all its columns: one that has the class_id.
 
