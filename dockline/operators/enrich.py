@@ -36,11 +36,17 @@ def enrich_department(stations: DataFrame, department_lookup: DataFrame) -> Data
 
 
 def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
-    """The smallest row of each key; in a lookup of one value column a null gives way to any value."""
+    """The smallest row of each key; in a lookup of one value column a null gives way to any value.
+
+    Grouped by the key and its hash: a join by the key then shuffles the
+    result again, and only a side that sits on a shuffle leaves AQE free to
+    split a hot key of the other.
+    """
     values = [c for c in lookup.columns if c != key]
+    groups = lookup.groupBy(F.xxhash64(key).alias("_hash"), key)
     if len(values) == 1:
-        return lookup.groupBy(key).agg(F.min(values[0]).alias(values[0]))
-    return lookup.groupBy(key).agg(F.min(F.struct(*values)).alias("_row")).select(key, "_row.*")
+        return groups.agg(F.min(values[0]).alias(values[0])).drop("_hash")
+    return groups.agg(F.min(F.struct(*values)).alias("_row")).select(key, "_row.*")
 
 
 def lookup_to_rows(objects: DataFrame, key: str = "stationcode", value: str = "name_custom") -> DataFrame:
