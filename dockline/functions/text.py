@@ -18,6 +18,7 @@ def _degrees(column: Column) -> Column:
 
 def directions_url(ulat: Column, ulon: Column, lat: Column, lon: Column) -> Column:
     """Link to directions from the user's point to the station."""
+    # Fixed value: the address that the board links to.
     return F.concat(
         F.lit("https://www.google.com/maps/dir/"),
         _degrees(ulat), F.lit(","), _degrees(ulon), F.lit("/"), _degrees(lat), F.lit(","), _degrees(lon),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dockline import schemas
 
+# Fixed value: stations of one page, as the feed limits them.
 PAGE_SIZE = 100
 
 
