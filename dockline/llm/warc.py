@@ -1,7 +1,8 @@
 """WARC archives: records written from pages, and a salvage reader.
 
-Archives are compressed WARC/1.1 files, written through Spark's text writer
-with the record end as line end, so any file system that Spark knows will do.
+Archives are WARC/1.1 files with a gzip member per record, so that damage
+costs the records it touches. They are written through Spark's text writer, so
+any file system that Spark knows will do.
 The reader checks every record (version line, length, record end, digest).
 After a failed check it looks for the next version line, or in compressed
 archives for the next member that inflates, reads on from there and reports
@@ -10,6 +11,7 @@ the bytes in between as a gap.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -27,7 +29,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 # Payloads below this size are always stored.
 MIN_REVISIT_BYTES = 100
-# Records of one archive file; with ARCHIVE_BYTES of payload per task it bounds what a reading task holds.
+# Records and bytes of one archive file (a larger record has its own); they bound what a writing or reading task holds.
 ARCHIVE_RECORDS = 1000
 ARCHIVE_BYTES = 16 << 20
 
@@ -80,16 +82,41 @@ def record_text(row: DataFrame) -> Column:
     return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
 
 
+# A gzip member that holds nothing: the line end of an archive that is written as one line.
+_NOTHING = gzip.compress(b"", mtime=0)
+
+
 def write_archives(pages: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Write a record per row; tasks write archives of ARCHIVE_RECORDS records at most.
+    """Write a record per row, to archives of ARCHIVE_RECORDS records and ARCHIVE_BYTES at most.
 
-    An archive is one gzip member, or plain with compression "none".
+    Every record is a gzip member of its own, or plain with compression "none".
     """
     out = records(pages)
-    (
-        out.select(record_text(out).alias("value")).write.mode("errorifexists")
-        .option("lineSep", END).option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", compression).text(path)
-    )
+    text = out.select(record_text(out).alias("value"))
+    if compression == "none":
+        text.write.mode("errorifexists").option("lineSep", END).option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+        return
+
+    def pack(batches):
+        import pyarrow as pa
+
+        held: list[bytes] = []
+        size = 0
+        for batch in batches:
+            for value in batch.column(0):
+                member = gzip.compress(value.as_py() + END.encode(), 6, mtime=0)
+                if held and (len(held) == ARCHIVE_RECORDS or size + len(member) > ARCHIVE_BYTES):
+                    yield pa.RecordBatch.from_pydict({"value": [b"".join(held)]})
+                    held, size = [], 0
+                held.append(member)
+                size += len(member)
+        if held:
+            yield pa.RecordBatch.from_pydict({"value": [b"".join(held)]})
+
+    # the writer puts bytes out as they are; an archive is one line, and a file has one line
+    text.select(F.col("value").cast("binary")).mapInArrow(pack, "value binary").select(F.col("value").cast("string")).write.mode(
+        "errorifexists").option("encoding", "ISO-8859-1").option("lineSep", _NOTHING.decode("latin-1")).option(
+        "compression", "none").option("maxRecordsPerFile", 1).text(path)
 
 
 def read_archives(spark, path: str) -> DataFrame:
@@ -126,8 +153,11 @@ def salvage(data: bytes) -> Iterator[tuple]:
     Offsets of a compressed archive are those of the members that hold the
     record.
     """
-    if data[:3] == _GZIP or (_GZIP in data and not _LINE.search(data)):
+    if data[:3] == _GZIP:
         yield from _members(data)
+    elif _GZIP in data and not _LINE.match(data):
+        # the start is damaged, so the reading that finds more records counts
+        yield from max(list(_plain(data, 0, len(data))), list(_members(data)), key=lambda rows: sum(r[0] == "record" for r in rows))
     else:
         yield from _plain(data, 0, len(data))
 
@@ -175,17 +205,30 @@ def _members(data: bytes) -> Iterator[tuple]:
 
 def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, bool]:
     """What the member that starts at `at` holds, where it stops, and whether it is whole."""
-    inflater, parts, view = zlib.decompressobj(31), [], memoryview(data)
+    inflater, parts, view, start = zlib.decompressobj(31), [], memoryview(data), at
     while at < len(data) and not inflater.eof:
         piece = view[at : at + step]
         try:
             parts.append(inflater.decompress(piece))
         except zlib.error:
-            return b"".join(parts), at, False
+            return b"".join([*parts, _before_error(view, start, at, step)]), at, False
         at += len(piece) - len(inflater.unused_data)
     return b"".join(parts), at, inflater.eof
 
 
+def _before_error(view: memoryview, start: int, at: int, step: int) -> bytes:
+    """What the piece at `at`, which does not inflate, gives before its error, read byte by byte."""
+    inflater, parts = zlib.decompressobj(31), []
+    for i in range(start, at, step):
+        inflater.decompress(view[i : i + step])
+    try:
+        for i in range(at, min(at + step, len(view))):
+            parts.append(inflater.decompress(view[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(parts)
+
+
 def _gap(start: int, stop: int, why: str) -> tuple:
     return ("gap", start, stop, None, None, None, None, None, None, why)
 
@@ -232,24 +275,37 @@ def archive_pages(pages: DataFrame) -> DataFrame:
 
     Per page: page_id, url, payload_bytes, payload_digest (both of the full
     payload; a revisit has them from the response it refers to), record_type,
-    refers_to. Records are checked on reading, so a page that could not be
-    read back is missing here and its bytes are a gap of `read_archives`.
+    refers_to. Records are checked on reading; bytes of an archive that could
+    not be read back are a row of record_type 'gap', with their place and the
+    reason as url and their number as payload_bytes.
     """
     spark = pages.sparkSession
     path = scratch_dir(spark, "warc")
     write_archives(pages, path)
-    read = read_archives(spark, path).where("kind = 'record'").select(
-        "page_id", "url", "record_type", "refers_to", F.col("payload_digest").alias("_named"),
-        F.octet_length("payload").cast("bigint").alias("_bytes"), F.sha2("payload", 256).alias("_digest"),
+    return restored(read_archives(spark, path))
+
+
+def restored(found: DataFrame) -> DataFrame:
+    """The pages, and the gaps, of what `read_archives` found.
+
+    A revisit whose response was lost stays, with the digest it names and
+    payload_bytes null.
+    """
+    gap = F.col("kind") == "gap"
+    read = found.select(
+        "page_id", F.when(gap, F.concat_ws(" ", "file", "start", "stop", "reason")).otherwise(F.col("url")).alias("url"),
+        F.when(gap, "gap").otherwise(F.col("record_type")).alias("record_type"), "refers_to", F.col("payload_digest").alias("_named"),
+        F.when(gap, F.col("stop") - F.col("start")).otherwise(F.octet_length("payload").cast("bigint")).alias("_bytes"),
+        F.sha2("payload", 256).alias("_digest"),
     )
     stored = read.where("record_type = 'response'").select(
         F.col("page_id").alias("_page"), F.col("_bytes").alias("_full"), F.col("_digest").alias("_whole")
     ).where("_page is not null").dropDuplicates(["_page", "_whole"])
     revisit = read.where("record_type = 'revisit'")
     return revisit.join(
-        stored, (revisit["refers_to"] == stored["_page"]) & (revisit["_named"] == stored["_whole"])
+        stored, (revisit["refers_to"] == stored["_page"]) & (revisit["_named"] == stored["_whole"]), "left"
     ).select(
-        "page_id", "url", F.col("_full").alias("payload_bytes"), F.col("_whole").alias("payload_digest"), "record_type", "refers_to"
-    ).unionByName(read.where("record_type = 'response'").select(
+        "page_id", "url", F.col("_full").alias("payload_bytes"), F.col("_named").alias("payload_digest"), "record_type", "refers_to"
+    ).unionByName(read.where("record_type in ('response', 'gap')").select(
         "page_id", "url", F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"), "record_type", "refers_to"
     ))

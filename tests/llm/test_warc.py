@@ -1,5 +1,7 @@
 import gzip
 import hashlib
+import random
+from pathlib import Path
 
 import pytest
 
@@ -99,3 +101,51 @@ def test_plain_archives_and_gaps(spark):
     files = warc.read_archives(spark, path)
     assert sorted(r.page_id for r in files.where("kind = 'record'").collect()) == [0, 1, 2, 3, 4]
     assert files.where("kind = 'gap'").count() == 0
+
+
+def test_a_flipped_byte_costs_one_record(spark):
+    path = scratch_dir(spark, "flipped")
+    rnd = random.Random(7)
+    rows = [(i, "u", "".join(rnd.choice("abcdefgh <>") for _ in range(300)), None) for i in range(60)]
+    warc.write_archives(pages_of(spark, rows).coalesce(1), path)
+    (file,) = Path(path).glob("part-*")
+    data = file.read_bytes()
+    whole = {r[3]: r[1:3] for r in warc.salvage(data)}
+    assert sorted(whole) == list(range(60)) and gzip.decompress(data).count(b"Content-Length") == 60
+    for at in (0, *rnd.sample(range(len(data) - 20), 40)):
+        broken = data[:at] + bytes([data[at] ^ 0x55]) + data[at + 1 :]
+        pages, gaps = found(broken)
+        hit = {i for i, (start, stop) in whole.items() if start <= at < stop}
+        assert set(range(60)) - hit <= set(pages) and len(pages) == len(set(pages)), at
+        assert all(start <= at < stop for start, stop in gaps) and len(gaps) <= 1
+        assert gaps or len(pages) == 60
+    Path(file).write_bytes(data[:1000] + bytes([data[1000] ^ 0x55]) + data[1001:])
+    (Path(path) / f".{file.name}.crc").unlink(missing_ok=True)
+    got = warc.restored(warc.read_archives(spark, path)).collect()
+    (gap,) = [r for r in got if r.record_type == "gap"]
+    assert len(got) >= 60 and gap.payload_bytes > 0 and file.name in gap.url
+
+
+def test_a_damaged_member_keeps_the_records_before_the_damage():
+    rnd = random.Random(8)
+    pages = [plain_record(i, bytes(rnd.choice(b"abcdefgh") for _ in range(400))) for i in range(40)]
+    data = gzip.compress(b"".join(pages))
+    assert len(data) < 1 << 16
+    at = len(data) // 2
+    kept, gaps = found(data[:at] + b"\xff" * 30 + data[at + 30 :])
+    assert kept[:15] == list(range(15)) and gaps == [(0, len(data))]
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 5000)
+    path, rnd = scratch_dir(spark, "bounded"), random.Random(9)
+    rows = [(i, "u", "".join(chr(rnd.randint(33, 1000)) for _ in range(600)), None) for i in range(30)]
+    warc.write_archives(pages_of(spark, rows).coalesce(1), path)
+    assert all(f.stat().st_size < 5100 for f in Path(path).glob("part-*"))
+    assert warc.read_archives(spark, path).where("kind = 'record'").count() == 30
+
+
+def test_a_revisit_stays_when_its_response_is_lost(spark):
+    rows = [("f", "record", 0, 9, 5, "u", "revisit", 4, "d", b"", None)]
+    (got,) = warc.restored(spark.createDataFrame(rows, warc.RECORD_SCHEMA)).collect()
+    assert (got.page_id, got.payload_bytes, got.payload_digest, got.refers_to) == (5, None, "d", 4)
