@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,6 +197,27 @@ def test_licences_equal_brute_force(spark):
     assert licences.scan(docs, ["doc_id"], templates={}).where("size(licences) > 0").count() == 0
 
 
+def test_wrapped_licences_and_notices_inside_lines(spark):
+    whole = {n: max(licences.TEMPLATES[n], key=len) for n in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "Unlicense")}
+    rnd, texts, want = random.Random(2), ["dummy"], [[]]
+    for name, text in whole.items():
+        for own in (text, textwrap.fill(text, 72), textwrap.fill(text, 72, initial_indent="# ", subsequent_indent="# ")):
+            texts.append(f"{words(rnd, 40)}\n{words(rnd, 5)}\n{own}\n{words(rnd, 30)}")
+            want.append([(name, 2)])
+    texts += ["Copyright 2020 Foo. Licensed under the MIT License.", "x\nThis file: licensed under\nthe Apache License,\nVersion 2.0. More words."]
+    want += [[("MIT", 0)], [("Apache-2.0", 1)]]
+    texts.append("The license of a driver was under the table, and the work is done without restriction.")
+    want.append([])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(x.licence, x.line) for x in r.licences] for r in licences.scan(docs, ["doc_id"]).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_a_low_dice_keeps_its_lines(spark):
+    docs = spark.createDataFrame([(0, "bb cc dd")], "doc_id long, text string")
+    assert licences.scan(docs, ["doc_id"], templates={"X": ["aaaaaaa bb cc dd"]}, dice=0.5).first().licences[0].licence == "X"
+
+
 # -- pipeline -----------------------------------------------------------------
 
 
