@@ -5,12 +5,13 @@ one thing each (local part and domain of an address, given name and surname,
 the digits of a number), and every distinct part gets one surrogate, so equal
 parts stay equal and different ones different wherever they occur. Parts are
 spread over tasks; what comes out twice, or equals a part that exists, is
-drawn anew until nothing does.
+drawn anew until nothing does. The space that is drawn from grows with the
+tries, so no part ever stays as it is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockline.llm.secrets import _spans
@@ -45,6 +46,8 @@ SYLLABLES = {
     "cyrillic": "бар бел вер гор дан ден зор кал лан мар нов пел рад сев тор фед хар чер шам яр".split(),
 }
 SYLLABLES_PER_NAME = 4
+# After each further so many tries a surrogate is one step longer, where its kind has a longer form.
+TRIES_PER_STEP = 3
 
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -130,22 +133,30 @@ def _draw(key: str) -> Column:
             .otherwise(c)
         )
 
+    step = F.floor(F.col("tries") / TRIES_PER_STEP).cast("int")
+    more = F.array_join(F.transform(F.sequence(F.lit(0), step), lambda i: F.when(i > 0, F.substr(
+        F.lit(letters), _number(_digest(key, *seed, F.lit("more"), i.cast("string")), 26).cast("int") + 1, F.lit(1))).otherwise("")), "")
     plain = F.array_join(F.transform(F.split("value", ""), other), "")
     octet = lambda o, i: F.when(
         F.length(o) == 3, 100 + _number(_digest(key, *seed, i.cast("string")), 156)
     ).when(F.length(o) == 2, 10 + _number(_digest(key, *seed, i.cast("string")), 90)).otherwise(
         _number(_digest(key, *seed, i.cast("string")), 10)).cast("string")
-    ip = F.array_join(F.transform(F.split("value", r"\."), octet), ".")
+    any_octet = lambda o, i: _number(_digest(key, *seed, F.lit("any"), i.cast("string")), 256).cast("string")
+    ip = F.array_join(F.when(step > 0, F.transform(F.split("value", r"\."), any_octet)).otherwise(
+        F.transform(F.split("value", r"\."), octet)), ".")
     script = F.when(F.col("value").rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
     def syllables(name):
         table = F.array(*(F.lit(x) for x in SYLLABLES[name]))
-        pick = [F.get(table, _number(_digest(key, *seed, F.lit(str(i))), len(SYLLABLES[name])).cast("int")) for i in range(SYLLABLES_PER_NAME)]
-        return F.initcap(F.concat(*pick))
+        pick = lambda i: F.get(table, _number(_digest(key, *seed, i.cast("string")), len(SYLLABLES[name])).cast("int"))
+        return F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), step + SYLLABLES_PER_NAME - 1), pick), ""))
 
     surname = F.when(script == "cyrillic", syllables("cyrillic")).otherwise(syllables("latin"))
     card = F.when(_luhn(F.col("value")), _with_check_digit(plain)).otherwise(plain)
-    return F.when(F.col("kind") == "ip", ip).when(F.col("kind") == "surname", surname).when(F.col("kind") == "card", card).otherwise(plain)
+    return (
+        F.when(F.col("kind") == "ip", ip).when(F.col("kind") == "surname", surname).when(F.col("kind") == "card", card)
+        .when(F.col("kind").isin("local", "domain"), F.concat(plain, more)).otherwise(plain)
+    )
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -181,8 +192,9 @@ def surrogates(parts: DataFrame, key: str) -> DataFrame:
 
     A surrogate that another part of the kind has too, or that is itself a
     part of the kind, is drawn anew: of those that meet, the one with the
-    smallest value keeps it. A kind with nearly all its values in use (such
-    as one-digit local parts) may run out; then the part stays as it is.
+    smallest value keeps it. Names, local parts, domains and addresses are
+    drawn from a larger space after some tries. Numbers whose format has no
+    values left trade places, see `_rotated`; no part stays as it is.
     """
     values = materialize(parts.select("kind", "value").distinct(), "parts")
     given = values.where("kind = 'given'").withColumn("surrogate", _given(key))
@@ -201,15 +213,37 @@ def surrogates(parts: DataFrame, key: str) -> DataFrame:
         if open_.isEmpty():
             break
     else:
-        done = done.unionByName(open_.select("kind", "value", F.col("value").alias("surrogate")))
+        done = _rotated(open_, done, key)
     return given.unionByName(done)
 
 
 MAX_TRIES = 40
 
 
+def _rotated(left: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """`done`, and surrogates for what is left: of one format, each takes the value of the next by keyed hash.
+
+    No surrogate in `done` is a value, so all stay different. One that is left
+    alone takes the surrogate of another part of its format, which takes its value.
+    """
+    fixed = F.col("kind").isin("card", "phone", "ssn")
+    shape = F.when(fixed, F.concat_ws(":", F.length("value").cast("string"), ((F.col("kind") == "card") & _luhn(F.col("value"))).cast("string"))).otherwise("")
+    group = Window.partitionBy("kind", "_shape")
+    ring = group.orderBy(_digest(key, F.col("kind"), F.col("value")), "value")
+    left = left.select("kind", "value", shape.alias("_shape")).withColumn("_n", F.count(F.lit(1)).over(group)).withColumn(
+        "surrogate", F.coalesce(F.lead("value").over(ring), F.first("value").over(ring)))
+    left = materialize(left, "left")
+    turned = left.where("_n > 1").select("kind", "value", "surrogate")
+    other = done.withColumn("_shape", shape).join(left.where("_n = 1").select("kind", "_shape", F.col("value").alias("_alone")), ["kind", "_shape"])
+    other = other.groupBy("kind", "_alone").agg(F.min(F.struct("value", "surrogate")).alias("o"))
+    other = materialize(other.select("kind", "_alone", F.col("o.value").alias("value"), F.col("o.surrogate").alias("surrogate")), "other")
+    swapped = other.select("kind", F.col("_alone").alias("value"), "surrogate").unionByName(
+        other.select("kind", "value", F.col("_alone").alias("surrogate")))
+    return done.join(other, ["kind", "value"], "left_anti").select("kind", "value", "surrogate").unionByName(turned).unionByName(swapped)
+
+
 def _dressed(own: Column, surrogate: Column) -> Column:
-    """The surrogate's letters and digits in the places and the case of the original's."""
+    """The surrogate's letters and digits in the places and the case of the original's; what is longer follows."""
     letters = F.regexp_replace(surrogate, "[^a-z0-9]", "")
 
     def step(acc, c):
@@ -218,7 +252,11 @@ def _dressed(own: Column, surrogate: Column) -> Column:
         shown = F.when(c.rlike("[A-Z]"), F.upper(next_)).otherwise(next_)
         return F.struct(F.concat(acc["out"], F.when(takes, shown).otherwise(c)).alias("out"), (acc["i"] + takes.cast("int")).alias("i"))
 
-    return F.aggregate(F.split(own, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("i")), step, lambda acc: acc["out"])
+    capitals = own.rlike("[A-Z]") & ~own.rlike("[a-z]")
+    rest = lambda acc: F.substr(letters, acc["i"] + 1, F.lit(1 << 20))
+    return F.aggregate(
+        F.split(own, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("i")), step,
+        lambda acc: F.concat(acc["out"], F.when(capitals, F.upper(rest(acc))).otherwise(rest(acc))))
 
 
 def replace(docs: DataFrame, key: str, keep: list[str], text: str = "text") -> DataFrame:
@@ -233,7 +271,7 @@ def replace(docs: DataFrame, key: str, keep: list[str], text: str = "text") -> D
     found = materialize(detect(docs, text), "entities")
     rows = found.select("_node", F.explode("parts").alias("p")).select("_node", "p.*")
     named = rows.join(surrogates(rows, key), ["kind", "value"]).select(
-        "_node", F.struct("start", "end", F.when(F.col("kind").isin("given", "surname"), F.col("surrogate")).otherwise(
+        "_node", F.struct("start", "end", F.when(F.col("kind").isin("given", "surname", "ip"), F.col("surrogate")).otherwise(
             _dressed(F.col("own"), F.col("surrogate"))).alias("new")).alias("r"))
     news = named.groupBy("_node").agg(F.array_sort(F.collect_list("r")).alias("_r"))  # as many as one text has parts
 

@@ -165,6 +165,28 @@ def test_distinct_parts_stay_distinct(spark):
     assert len(got) == len(rows) == len({(r.kind, r.surrogate) for r in got})
 
 
+def test_crowded_parts_never_stay(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["bar", "bel"], "cyrillic": ["бар", "бел"]})
+    monkeypatch.setattr(pii, "TRIES_PER_STEP", 1)
+    monkeypatch.setattr(pii, "MAX_TRIES", 12)
+    rows = [("surname", f"Name{i}") for i in range(50)] + [("local", c) for c in [*"abcdefghijklmnopqrstuvwxyz", "_"]]
+    rows += [("ssn", c) for c in "0123456789"] + [("phone", str(i)) for i in range(10)]
+    got = pii.surrogates(spark.createDataFrame(rows, "kind string, value string"), "k").collect()
+    assert {(r.kind, r.value) for r in got} == set(rows) and len({(r.kind, r.surrogate) for r in got}) == len(rows) == len(got)
+    assert all(r.value != r.surrogate for r in got)
+    left = spark.createDataFrame([("ssn", "7")], "kind string, value string")
+    done = spark.createDataFrame([("ssn", "1", "3"), ("ssn", "2", "4")], "kind string, value string, surrogate string")
+    swapped = {r.value: r.surrogate for r in pii._rotated(left, done, "k").collect()}
+    assert swapped == {"7": "3", "1": "7", "2": "4"}
+
+
+def test_a_longer_surrogate_is_written_in_full(spark):
+    docs = spark.createDataFrame([(0, " ".join(f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz") + " A@EXAMPLE.COM")], "doc_id long, text string")
+    text = pii.replace(docs, "k", ["doc_id"]).first().surrogate_text.split()
+    assert len({t.split("@")[0] for t in text[:26]}) == 26 and all(len(t.split("@")[0]) > 1 for t in text[:26])
+    assert text[26].split("@")[0] == text[0].split("@")[0].upper()
+
+
 def test_no_documents(spark):
     assert pii.replace(spark.createDataFrame([], "doc_id long, text string"), "k", ["doc_id"]).count() == 0
 
