@@ -15,6 +15,8 @@ BLOCK_BYTES = 4 << 20
 # ASCII white space, the separators of words (fixed values).
 SPACES = b" \t\n\r\x0b\x0c"
 CONTINUATION = bytes(range(0x80, 0xC0))
+# The same as a pattern for the JVM.
+WORD = r"[^\x20\x09-\x0D]+"
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 

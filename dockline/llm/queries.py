@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, licences, minhash, pii, ppm, quality, secrets, toxicity, warc
-from dockline.llm.common import read_table
+from dockline.llm import bpe, decontaminate, licences, minhash, pii, ppm, quality, runs, secrets, toxicity, warc
+from dockline.llm.common import WORD, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -101,3 +101,37 @@ def op9_licences(spark: SparkSession, sf: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark item that a document holds."""
     return decontaminate.find(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, a tenth of them with a tail that repeats its first words.
+
+    Which ones, from where and with which period follows from the checksum of
+    the id. A null id gets no such tail.
+    """
+    check = F.crc32(docs["doc_id"].cast("string"))
+    words = docs.withColumn("_words", F.when(check % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), 0)))
+    split = words.withColumns({"_n": F.size("_words").cast("bigint"), "_seed": F.floor(check / 10)})
+    placed = split.withColumn("_from", F.when(F.col("_n") > 0, F.col("_seed") % F.col("_n"))).withColumn(
+        "_period", F.floor((F.col("_n") - F.col("_from")) / (3 + F.col("_seed") % 8)) + 1)
+    taken = F.transform("_words", lambda w, i: F.when(i < F.col("_from"), w).otherwise(
+        F.get("_words", (F.col("_from") + (i - F.col("_from")) % F.col("_period")).cast("int"))))
+    tail = F.when(F.col("_from").isNotNull(), F.array_join(taken, " "))
+    return placed.withColumn("text", F.coalesce(tail, "text")).select(*docs.columns)
+
+
+@query
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words in every document; a tenth of the documents are made to repeat themselves."""
+    docs = planted_repeats(read_table(spark, sf, "documents").select("doc_id", "text"))
+    found = runs.periodic_runs(docs, ["doc_id"])
+    line = F.transform(
+        F.arrays_zip("run_starts", "run_lengths", "run_periods"),
+        lambda r: F.concat(F.concat_ws(",", r["run_starts"], r["run_lengths"], r["run_periods"]), F.lit("\n")),
+    )
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.floor(F.col("length") * 1000 / F.col("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
