@@ -133,7 +133,7 @@ class Catchers:
         if not len(ends):
             return
         at = (ends - first)[:, None] + np.arange(low, high + 1)
-        hit = suffixes[np.clip(at, 0, len(suffixes) - 1)] == self._suffixes(block, ends)[:, None]
+        hit = suffixes[np.minimum(np.maximum(at, 0), len(suffixes) - 1)] == self._suffixes(block, ends)[:, None]
         if not hit.any():
             return
         hit &= (at >= 0) & (at < len(suffixes))
