@@ -17,3 +17,35 @@ select page_id, payload_bytes, payload_digest,
   case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
 from firsts
 """
+
+ORACLE["op12_mixing"] = r"""
+with sized as (
+  select doc_id, source, md5(concat_ws(':', 'mix', doc_id)) as h,
+    cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size
+  from documents
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size from sized group by source
+), weighed as (
+  select *, row_number() over (order by source nulls last) as nr from sources
+), capped as (
+  select *, 3 * source_size as cap, 1e0 + (nr - 1) % 3 as weight from weighed
+), summed as (
+  select *, coalesce(sum(cap) over before, 0) as caps, coalesce(sum(weight) over before, 0) as weights from capped
+  window before as (order by cap / weight, nr rows between unbounded preceding and 1 preceding)
+), leveled as (
+  select max(((select sum(source_size) from sources) * 1e0 - caps) / ((select sum(weight) from capped) - weights)) as water
+  from summed
+), goals as (
+  select source, source_size, least(cast(cap as double), weight * water) as target from capped cross join leveled
+), queued as (
+  select s.*, coalesce(sum(size) over (partition by source order by h, doc_id, size
+    rows between unbounded preceding and 1 preceding), 0) as start from sized s
+), served as (
+  select q.doc_id, q.size, g.source_size, g.target, cast(floor(g.target) as bigint) - q.start as left_over
+  from queued q join goals g on q.source is not distinct from g.source
+)
+select doc_id, size, source_size, target,
+  cast(greatest(0, least(size, left_over)) + greatest(0, least(size, left_over - source_size))
+    + greatest(0, least(size, left_over - 2 * source_size)) as bigint) as taken
+from served
+"""

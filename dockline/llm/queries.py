@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, licences, minhash, pii, ppm, quality, runs, secrets, toxicity, warc
+from dockline.llm import bpe, decontaminate, licences, minhash, mixing, pii, ppm, quality, runs, secrets, toxicity, warc
 from dockline.llm.common import WORD, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,9 @@ def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    return mixing.taken_words(*mixing.mix(read_table(spark, sf, "documents")))
