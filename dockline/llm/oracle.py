@@ -49,3 +49,45 @@ select doc_id, size, source_size, target,
     + greatest(0, least(size, left_over - 2 * source_size)) as bigint) as taken
 from served
 """
+
+ORACLE["op13_divergence"] = r"""
+with docs as (
+  select row_number() over () as nr, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source
+  from documents
+), found as (
+  select nr, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+  from docs
+), kept as (
+  select lang, term, count(*) as n from found group by lang, term having count(distinct nr) >= 30
+), langs as (
+  select lang, count(*) as v, sum(n) as total from kept group by lang
+), groups as (
+  select distinct lang, source from docs
+), counted as (
+  select lang, source, term, count(*) as n from found semi join kept using (lang, term) group by lang, source, term
+), totals as (
+  select lang, source, sum(n) as total from counted group by lang, source
+), cells as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    cast(1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (coalesce(t.total, 0) + 5 * l.v) as bigint) as p,
+    cast(1 + 1000000000::hugeint * (k.n + 5) // (l.total + 5 * l.v) as bigint) as q
+  from groups g join kept k using (lang) join langs l using (lang)
+  left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+  left join totals t on t.lang = g.lang and t.source = g.source
+), apart as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from cells a join cells b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source
+), both_parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(x.value, 0) as bigint) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from cells where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+  from both_parts
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import bpe, decontaminate, licences, minhash, mixing, pii, ppm, quality, runs, secrets, toxicity, warc
+from dockline.llm import bpe, decontaminate, divergence, licences, minhash, mixing, pii, ppm, quality, runs, secrets, toxicity, warc
 from dockline.llm.common import WORD, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,9 @@ def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
 def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Words that a mix of all sources takes of every document."""
     return mixing.taken_words(*mixing.mix(read_table(spark, sf, "documents")))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """How the terms of each source differ from those of the other sources of its language."""
+    return divergence.audit(read_table(spark, sf, "documents"))
