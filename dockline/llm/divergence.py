@@ -8,7 +8,7 @@ kept terms, of the difference of their smoothed shares.
 That sum is taken by Gustavson's row accumulation. The index is cut into
 slices of terms. In a slice each group scatters its terms through the index
 into a dense accumulator with one cell for each peer, so no pair of postings
-is ever a row; a slice sends one row for each pair of groups. Most groups lack
+is ever a row; a slice sends two rows for each pair of groups. Most groups lack
 most terms, so a cell starts from the sum that holds if no term were shared,
 which follows from the zero shares of both groups; a shared term then adds
 what it changes.
@@ -114,19 +114,19 @@ def _share(n: Column, total: Column, terms: Column) -> Column:
 
 
 def slice_sums(number: np.ndarray, total: np.ndarray, terms: int, offsets: np.ndarray, peer: np.ndarray, n: np.ndarray):
-    """Sums of |p - q| over the terms of one slice, for every pair of groups g < h.
+    """Sums of |p - q| over the terms of one slice, for every pair of groups, in two parts.
 
     Groups are numbered from 0 (`number`) and have `total` occurrences of
     kept terms; the language has `terms` of them. Term i of the slice has the
-    postings offsets[i]:offsets[i + 1] of `peer` and `n`. Yields (g, sums for
-    h = g + 1, g + 2, ...).
+    postings offsets[i]:offsets[i + 1] of `peer` and `n`. Yields (g, one part
+    for each group h); the parts of (g, h) and (h, g) add up to their sum.
     """
     size = len(number)
     base = np.zeros(size, dtype=object)
     base[number] = [int(x) + SMOOTHING * terms for x in total]
     if terms == 0:
-        for g in range(size - 1):
-            yield g, np.zeros(size - g - 1, dtype=np.int64)
+        for g in range(size):
+            yield g, np.zeros(size, dtype=np.int64)
         return
     zero = np.array([1 + UNIT * SMOOTHING // int(x) for x in base], dtype=np.int64)
     if len(n) and n.max() >= SAFE_COUNT:
@@ -136,23 +136,23 @@ def slice_sums(number: np.ndarray, total: np.ndarray, terms: int, offsets: np.nd
     term = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     by_row = np.argsort(peer, kind="stable")
     rows = np.searchsorted(peer[by_row], np.arange(size + 1))
-    own = [share[by_row[rows[g] : rows[g + 1]]] for g in range(size)]
-    kept = len(offsets) - 1
-    # what the terms of each group would give if the other had none of them
-    unshared = np.stack([_unshared(own[g], zero, zero[g], kept) for g in range(size)]) if size else np.zeros((0, 0), np.int64)
-    for g in range(size - 1):
-        sums = unshared[g, g + 1 :] + unshared[g + 1 :, g] - kept * np.abs(zero[g + 1 :] - zero[g])
+    kept, lengths = len(offsets) - 1, np.diff(offsets)
+    for g in range(size):
         places = by_row[rows[g] : rows[g + 1]]
+        # what the terms of this group would give if no peer had them
+        sums = _unshared(share[places], zero, zero[g], kept)
+        # the terms that both lack are in both parts
+        sums[g + 1 :] -= kept * np.abs(zero[g + 1 :] - zero[g])
         if len(places):
             # the postings of every term of this group, one after the other
-            a, length = offsets[term[places]], np.diff(offsets)[term[places]]
+            a, length = offsets[term[places]], lengths[term[places]]
             at = np.repeat(a - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
             mine = np.repeat(share[places], length)
             later = peer[at] > g
             at, mine = at[later], mine[later]
             h, other = peer[at], share[at]
             change = np.abs(mine - other) - np.abs(mine - zero[h]) - np.abs(zero[g] - other) + np.abs(zero[g] - zero[h])
-            np.add.at(sums, h - g - 1, change)
+            np.add.at(sums, h, change)
         yield g, sums
 
 
@@ -213,7 +213,7 @@ def _terms(postings: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _pairs(index: DataFrame, groups: DataFrame) -> DataFrame:
     """Both directions of every pair of groups of a language, with the sum over all kept terms."""
-    # a slice sends half a row for each square of groups, so it holds no fewer postings than that
+    # a slice sends a row for each two groups, so it holds no fewer postings than that
     sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("size"), F.max("n_postings").alias("n_postings"))
     slices = F.floor(F.col("n_postings") / F.greatest(F.lit(SLICE_POSTINGS), F.col("size") * F.col("size"))) + 1
     sizes = sizes.select("lang", slices.alias("slices"))
@@ -228,9 +228,10 @@ def _pairs(index: DataFrame, groups: DataFrame) -> DataFrame:
         offsets, peer, n = _flat(left)
         g, h, value = [], [], []
         for row, made in slice_sums(own, right.column("total").to_numpy(), right.column("terms")[0].as_py(), offsets, peer, n):
-            g.append(np.full(len(made), row))
-            h.append(np.arange(row + 1, row + 1 + len(made)))
-            value.append(made)
+            peers_ = np.delete(np.arange(len(made)), row)
+            g.append(np.minimum(peers_, row))
+            h.append(np.maximum(peers_, row))
+            value.append(made[peers_])
         flat = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (g, h, value)]
         return pa.table([pa.repeat(key[0], len(flat[0])).cast(pa.string()), *flat], names=["lang", "g", "h", "value"])
 
