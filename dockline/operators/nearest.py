@@ -1,28 +1,26 @@
 """Distance to stations and the nearest station.
 
 For many points the stations form a tree of square cells: each cell that holds
-more than LEAF_SIZE places is cut into 8 x 8 smaller ones. A point first looks
-up the cells it lies in, which bounds the distance to its nearest place. Then
-all points walk down the tree together, one equi-join per level, into the cells
-within that bound. The work per point depends on the depth of the tree, not on
-how many stations share a cell, so a crowded cell costs little more than a
-sparse one, and no step pairs all points of a cell with all of its stations.
-The result is exact.
+more than LEAF_SIZE places is cut into 8 x 8 smaller ones, and knows the box
+around its places and the outermost of them. A point first looks up the cells
+it lies in or next to, which bounds the distance to its nearest place. Then
+all points walk down the tree together, one equi-join per level and one row
+per point and cell, into the cells within that bound. At the end each point
+opens its most promising small cell, and then only those that may still hold a
+nearer place. The bounds are as tight far away as nearby, so the work per point
+depends on the depth of the tree, not on how many stations share a cell or how
+far away they are, and no step pairs all points of a cell with all of its
+stations. The result is exact.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockline.functions.geo import (
-    box_distance_floor_m,
-    distance_ceiling_m,
-    geodesic_m,
-    reach_degrees,
-)
+from dockline.functions.geo import box_bounds, geodesic_m, point_columns, reach_degrees, sphere_ceiling_m
 from dockline.session import materialize
 
 LEAF_SIZE = 64
@@ -30,6 +28,9 @@ GRID_BITS = 30
 LEVEL_BITS = 3
 MAX_LEVEL = GRID_BITS // LEVEL_BITS
 GRID_MAX = (1 << GRID_BITS) - 1
+OUTERMOST = (("min", "u"), ("max", "u"), ("min", "lam"), ("max", "lam"))
+MEMBERS = tuple(f"{end}_{axis}" for end, axis in OUTERMOST)
+BOX = ("u_min", "u_max", "lon_min", "lon_max", *MEMBERS)
 BEST = ("distance_m", "stationcode", "name", "lat", "lon")
 
 
@@ -76,7 +77,7 @@ def nearest_station(points: DataFrame, stations: DataFrame, leaf_size: int = LEA
         types = ("double", "string", "string", "double", "double")
         best = spots.limit(0).withColumns({c: F.lit(None).cast(t) for c, t in zip(BEST, types)})
     else:
-        best = _search(spots, tree)
+        best = _nearest_of(_compared(_walk(spots, tree), tree))
     return points.join(best, ["ulat", "ulon"])
 
 
@@ -121,13 +122,13 @@ def _build_tree(places: DataFrame, leaf_size: int) -> _Tree | None:
     tree.places = places.selectExpr("*", f"{tree.grid('lon', 'lon')} gx", f"{tree.grid('lat', 'lat')} gy")
     remaining = tree.places
     for level in range(1, MAX_LEVEL + 1):
-        cells = remaining.groupBy(F.expr(_cell(level)).alias("cell")).agg(
+        placed = remaining.selectExpr(f"{_cell(level)} cell", *point_columns("lat", "lon"))
+        cells = placed.groupBy("cell").agg(
             (F.expr(f"count(*) <= {leaf_size}") | F.lit(level == MAX_LEVEL)).alias("leaf"),
-            F.expr("radians(min(lat)) lat_min"), F.expr("radians(max(lat)) lat_max"),
-            F.expr("radians(min(lon)) lon_min"), F.expr("radians(max(lon)) lon_max"),
-            # Longitude of one place at lat_min.
-            F.expr("radians(min_by(lon, lat)) member_lon"),
-        ).withColumn("member_cos", F.expr("cos(lat_min)"))
+            F.expr("min(u) u_min"), F.expr("max(u) u_max"), F.expr("min(lam) lon_min"), F.expr("max(lam) lon_max"),
+            # The outermost places of the cell.
+            *(F.expr(f"{end}_by(struct(u, sin_u, cos_u, lam), {axis}) {end}_{axis}") for end, axis in OUTERMOST),
+        )
         cells = materialize(cells, f"cells-{level}")
         tree.levels.append(cells)
         crowded = cells.where("not leaf").select("cell")
@@ -142,39 +143,32 @@ def _build_tree(places: DataFrame, leaf_size: int) -> _Tree | None:
 
 # -- the search -------------------------------------------------------------
 
-# Angles of a point in radians, and its distances to a cell.
-ANGLES = ("radians(ulat) phi", "cos(radians(ulat)) cos_phi", "radians(ulon) lam")
-CEILING = distance_ceiling_m("phi", "cos_phi", "lam", "lat_min", "member_cos", "member_lon")
-FLOOR = box_distance_floor_m("phi", "cos_phi", "lam", "lat_min", "lat_max", "lon_min", "lon_max")
+POINT = point_columns("ulat", "ulon")
+
 
+def _walk(spots: DataFrame, tree: _Tree) -> DataFrame:
+    """Rows of a point and a small cell that may hold its nearest place.
 
-def _search(spots: DataFrame, tree: _Tree) -> DataFrame:
-    # One row per point: the nearest place lies within `reach`, in one of the
-    # crowded cells `open` or of the small cells `leaves`.
+    `reach` bounds the distance to the nearest place, `floor` that to any place
+    of the cell, and `nr` numbers the cells of a point by it.
+    """
     state = _first_reach(spots, tree).selectExpr(
-        "ulat", "ulon", "reach", "array(0L) open",
-        "cast(array() as array<struct<level:int,cell:bigint,floor:double>>) leaves",
-    )
+        "ulat", "ulon", "reach", "0L cell", "cast(null as int) leaf_level", "0D floor")
     for level in range(1, len(tree.levels) + 1):
         # Written per level, so that neither the plan nor what a lost executor
         # costs grows with the depth.
         state = materialize(_descend(state, tree, level), f"points-{level}")
-    return _nearest_in_leaves(state, tree)
+    return state
 
 
 def _first_reach(spots: DataFrame, tree: _Tree) -> DataFrame:
-    """Bound the distance to the nearest place by one place of each top cell and
-    of each deeper cell that holds the point."""
+    """Bound the distance to the nearest place by the outermost places of the
+    top cells and of each deeper cell that holds the point, or lies at the
+    border next to it."""
     # A single row with at most 64 cells.
-    top = tree.levels[0].groupBy(F.lit(0).alias("root")).agg(
-        F.expr("collect_list(struct(lat_min, member_cos, member_lon)) cells")
-    )
-    angles = spots.selectExpr("ulat", "ulon", *ANGLES)
-    seen = (
-        angles.withColumn("root", F.lit(0)).join(F.broadcast(top), "root")
-        .selectExpr("ulat", "ulon", "phi", "cos_phi", "lam", "inline(cells)")
-        .selectExpr("ulat", "ulon", f"{CEILING} reach")
-    )
+    top = tree.levels[0].groupBy(F.lit(0).alias("root")).agg(F.collect_list(F.struct(*MEMBERS)).alias("cells"))
+    angles = spots.selectExpr("ulat", "ulon", *POINT)
+    seen = angles.withColumn("root", F.lit(0)).join(F.broadcast(top), "root").selectExpr(*angles.columns, "inline(cells)")
     if len(tree.levels) > 1:
         inside = [
             f"greatest(least({tree.grid(axis, f'u{axis}')}, {GRID_MAX}), 0)" for axis in ("lon", "lat")
@@ -185,14 +179,13 @@ def _first_reach(spots: DataFrame, tree: _Tree) -> DataFrame:
         )
         deeper = None
         for level, cells in enumerate(tree.levels[1:], start=2):
-            part = cells.select(F.lit(level).alias("level"), "cell", "lat_min", "member_cos", "member_lon")
+            part = cells.select(F.lit(level).alias("level"), "cell", *MEMBERS)
             deeper = part if deeper is None else deeper.unionByName(part)
         path = angles.selectExpr("*", f"{inside[0]} gx", f"{inside[1]} gy").selectExpr(
-            "ulat", "ulon", "phi", "cos_phi", "lam", f"inline(array({own}))"
-        )
-        seen = seen.unionByName(
-            path.join(deeper, ["level", "cell"]).selectExpr("ulat", "ulon", f"{CEILING} reach")
+            *angles.columns, f"inline(array({own}))"
         )
+        seen = seen.unionByName(path.join(deeper, ["level", "cell"]).select(*angles.columns, *MEMBERS))
+    seen = seen.select("ulat", "ulon", F.expr(sphere_ceiling_m(MEMBERS)).alias("reach"))
     return seen.groupBy("ulat", "ulon").agg(F.min("reach").alias("reach"))
 
 
@@ -209,10 +202,8 @@ def _children_in_reach(tree: _Tree, level: int) -> str:
 
     xs = within("r", f"shiftright(parent, {GRID_BITS})")
     ys = within("y", f"parent & {GRID_MAX}")
-    # greatest and least skip nulls, so without a parent they would not confine
-    # the ranges.
-    return f"""if(parent is null, null, array_distinct(flatten(transform(xs, r -> flatten(
-        transform({xs}, a -> transform({ys}, b -> {_pair("a", "b")})))))))"""
+    return f"""array_distinct(flatten(transform(xs, r -> flatten(
+        transform({xs}, a -> transform({ys}, b -> {_pair("a", "b")}))))))"""
 
 
 def _descend(state: DataFrame, tree: _Tree, level: int) -> DataFrame:
@@ -230,53 +221,45 @@ def _descend(state: DataFrame, tree: _Tree, level: int) -> DataFrame:
         r -> r.low <= r.high)"""
     everywhere = f"array(named_struct('low', 0L, 'high', {GRID_MAX}L))"
     opened = (
-        state.selectExpr("ulat", "ulon", "reach", "leaves", "explode_outer(open) parent")
-        .selectExpr("*", f"{dlat} dlat", f"{dlon} dlon")
+        state.where("leaf_level is null").selectExpr("ulat", "ulon", "reach", "cell parent", f"{dlat} dlat", f"{dlon} dlon")
         .selectExpr(
-            "ulat", "ulon", "reach", "leaves", "parent", f"{span('lat', 'ulat', 'dlat')} y",
+            "ulat", "ulon", "reach", "parent", f"{span('lat', 'ulat', 'dlat')} y",
             f"if(dlon >= 180, {everywhere}, {around}) xs",
         )
-        .selectExpr("ulat", "ulon", "reach", "leaves", f"explode_outer({_children_in_reach(tree, level)}) cell")
-        # Points with nothing open get keys that match no cell, all different
-        # ones so that they do not meet in one partition.
-        .withColumn("cell", F.expr(f"coalesce(cell, -1 - pmod(xxhash64(ulat, ulon), {1 << 40}))"))
-    )
-    seen = (
-        opened.join(tree.levels[level - 1], "cell", "left")
-        .selectExpr("ulat", "ulon", "reach", "leaves", "cell", "leaf", "lat_min", "lat_max",
-                    "lon_min", "lon_max", "member_cos", "member_lon", *ANGLES)
-        .selectExpr("ulat", "ulon", "reach", "leaves", "cell", "leaf", f"{FLOOR} floor", f"{CEILING} ceiling")
-    )
-    merged = seen.groupBy("ulat", "ulon").agg(
-        F.expr("min(least(reach, ceiling)) reach"),
-        F.expr("collect_list(if(floor <= reach, struct(cell, leaf, floor), null)) seen"),
-        F.first("leaves").alias("leaves"),
-    ).withColumn("seen", F.expr("filter(seen, c -> c.floor <= reach)"))
-    return merged.selectExpr(
-        "ulat", "ulon", "reach",
-        "transform(filter(seen, c -> not c.leaf), c -> c.cell) open",
-        f"""filter(concat(leaves, transform(filter(seen, c -> c.leaf),
-            c -> named_struct('level', {level}, 'cell', c.cell, 'floor', c.floor))),
-            c -> c.floor <= reach) leaves""",
+        .selectExpr("ulat", "ulon", "reach", f"explode({_children_in_reach(tree, level)}) cell")
     )
-
-
-def _nearest_in_leaves(state: DataFrame, tree: _Tree) -> DataFrame:
-    """Compare each point with the places of its remaining leaves."""
-    leaves = state.selectExpr("ulat", "ulon", "reach", "inline(leaves)").drop("floor")
+    joined = opened.join(tree.levels[level - 1], "cell").selectExpr("ulat", "ulon", "reach", "cell", "leaf", *BOX, *POINT)
+    seen = box_bounds(joined, ["ulat", "ulon", "reach", "cell", "leaf"], MEMBERS).where("floor <= reach").selectExpr(
+        "ulat", "ulon", "least(reach, ceiling) reach", "cell", f"if(leaf, {level}, null) leaf_level", "floor")
+    own = Window.partitionBy("ulat", "ulon")
+    return seen.unionByName(state.where("leaf_level is not null").select(*seen.columns)).withColumns({
+        "nr": F.row_number().over(own.orderBy("floor", "leaf_level", "cell")),
+        "reach": F.min("reach").over(own),
+    }).where("floor <= reach")
+
+
+def _compared(state: DataFrame, tree: _Tree) -> DataFrame:
+    """Distances of each point to the places of its best cell, then of those cells that may hold a nearer one."""
     members = None
     for level, cells in enumerate(tree.levels, start=1):
         in_leaf = (
             tree.places.withColumn("cell", F.expr(_cell(level)))
             .join(cells.where("leaf").select("cell"), "cell", "left_semi")
-            .select(F.lit(level).alias("level"), "cell", "stationcode", "name", "lat", "lon")
+            .select(F.lit(level).alias("leaf_level"), "cell", "stationcode", "name", "lat", "lon")
         )
         members = in_leaf if members is None else members.unionByName(in_leaf)
     distance = geodesic_m(F.col("ulat"), F.col("ulon"), F.col("lat"), F.col("lon"))
-    return (
-        leaves.join(members, ["level", "cell"]).withColumn("distance_m", distance)
-        # Leaves few rows to compare; the nearest is never beyond reach.
-        .where("distance_m <= reach")
-        .groupBy("ulat", "ulon").agg(F.min(F.struct(*BEST)).alias("best"))
-        .select("ulat", "ulon", "best.*")
-    )
+
+    def measured(rows: DataFrame) -> DataFrame:
+        return rows.join(members, ["leaf_level", "cell"]).select(
+            "ulat", "ulon", *(distance.alias(c) if c == "distance_m" else c for c in BEST))
+
+    first = materialize(_nearest_of(measured(state.where("nr = 1"))), "points-first")
+    known = first.select("ulat", "ulon", F.col("distance_m").alias("known"))
+    rest = state.where("nr > 1").join(known, ["ulat", "ulon"]).where("floor <= known")
+    return first.unionByName(measured(rest))
+
+
+def _nearest_of(compared: DataFrame) -> DataFrame:
+    best = F.min(F.struct(*BEST)).alias("best")
+    return compared.groupBy("ulat", "ulon").agg(best).select("ulat", "ulon", "best.*")

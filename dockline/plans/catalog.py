@@ -457,6 +457,13 @@ def q_nearest_station(spark, sf):
     return rows.select("user_id", "stationcode", F.round("distance_m", 1).alias("distance_m"))
 
 
+@query
+def q_nearest_far(spark, sf):
+    far = views.view(spark, views.FAR_POINTS, supplier=views.table(spark, sf, "supplier"))
+    rows = nearest.nearest_station(far, stations(spark, sf))
+    return rows.select("user_id", "stationcode", F.round("distance_m", 1).alias("distance_m"))
+
+
 @query
 def q_nearest_to_point(spark, sf):
     rows = nearest.nearest_to_point(stations(spark, sf), *CENTRE)

@@ -10,7 +10,7 @@ from dockline.operators.envelope import PAGE_SIZE
 WITH = "with " + ",\n".join(
     f"{name} as ({views.duckdb(sql)})"
     for name, sql in (
-        ("st0", views.STATIONS), ("reports", views.REPORTS), ("us", views.POINTS),
+        ("st0", views.STATIONS), ("reports", views.REPORTS), ("us", views.POINTS), ("far", views.FAR_POINTS),
         ("code_lookup", views.CODE_LOOKUP), ("dept_lookup", views.DEPARTMENT_LOOKUP),
         ("gazetteer", views.GAZETTEER),
     )
@@ -39,12 +39,16 @@ def distance(lat1: str, lon1: str, lat2: str, lon2: str, source: str, keep: str)
             from {source})))))"""
 
 
-NEAREST = WITH + f""", pairs as (select * from {distance(
-    "ulat", "ulon", "lat", "lon", "us, st",
-    "user_id, ulat, ulon, lat, lon, stationcode, st.name")}),
-found as (select * from (select *, row_number() over (
-    partition by user_id order by distance_m, stationcode) rn from pairs) where rn = 1)
-"""
+def nearest(points: str) -> str:
+    return WITH + f""", pairs as (select * from {distance(
+        "ulat", "ulon", "lat", "lon", f"{points}, st",
+        "user_id, ulat, ulon, lat, lon, stationcode, st.name")}),
+    found as (select * from (select *, row_number() over (
+        partition by user_id order by distance_m, stationcode) rn from pairs) where rn = 1)
+    """
+
+
+NEAREST = nearest("us")
 
 FEED = "select stationcode, numbikesavailable, numdocksavailable, ebike, is_renting, lat, lon from st"
 
@@ -177,6 +181,7 @@ ORACLE: dict[str, str] = {
         join gazetteer g on lower(trim(us.address)) = lower(trim(g.address))""",
     "nearest_station": NEAREST + """select user_id, stationcode, round(distance_m, 1) distance_m
         from found""",
+    "nearest_far": nearest("far") + "select user_id, stationcode, round(distance_m, 1) distance_m from found",
     "nearest_to_point": WITH + f"""select stationcode, name, round(distance_m, 1) distance_m
         from {distance(f"{CENTRE[0]}e0", f"{CENTRE[1]}e0", "lat", "lon", "st", "stationcode, name")} d
         order by d.distance_m, stationcode limit 1""",

@@ -39,6 +39,13 @@ select s_suppkey user_id, s_name address,
   48.805e0+(s_suppkey%89)*0.0011e0 ulat, 2.26e0+(s_suppkey%113)*0.0013e0 ulon from {supplier}
 """
 
+# In turn diagonally off the stations, 1,000 km north of them, and near 0/0.
+FAR_POINTS = """
+select s_suppkey user_id, s_name address,
+  case s_suppkey%3 when 0 then 49.20e0 when 1 then 57.80e0 else 0.00e0 end + (s_suppkey%89)*0.0011e0 ulat,
+  case s_suppkey%3 when 0 then 2.80e0 when 1 then 2.26e0 else 0.01e0 end + (s_suppkey%113)*0.0013e0 ulon from {supplier}
+"""
+
 CODE_LOOKUP = """
 select cast(c_custkey as {S}) stationcode, upper(c_name) name_custom
 from {customer} where c_custkey%2=0

@@ -74,21 +74,29 @@ def test_same_point_is_zero(spark):
 
 
 def test_bounds_hold(spark):
-    pairs = list(random_pairs(5000, 2, 1)) + list(random_pairs(5000, 3, 120)) + [
-        (48.871, 2.351, 48.870999999999995, 2.351), (10.0, 179.999, 10.0, -179.999),
-    ] + antipodes(3000, 6)
-    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
-    rad = ["radians(a)", "cos(radians(a))", "radians(b)"]
-    ceiling = geo.distance_ceiling_m(*rad, "radians(c)", "cos(radians(c))", "radians(d)")
-    floor = geo.box_distance_floor_m(
-        *rad, "radians(c - 0.01)", "radians(c + 0.02)", "radians(d - 0.03)", "radians(d + 0.01)")
-    point = geo.box_distance_floor_m(*rad, "radians(c)", "radians(c)", "radians(d)", "radians(d)")
-    rows = df.withColumn("m", geo.geodesic_m(*map(F.col, "abcd"))).selectExpr(
-        "*", f"{ceiling} top", f"{floor} low", f"{point} low_point").collect()
-    for r in rows:
-        assert r.low <= r.low_point <= r.m <= r.top, r
-        # Tight where it matters: up to a third of the way round.
-        assert r.m > 1.3e7 or r.top <= r.m * 1.03 + 1, r
+    """Boxes of metres to degrees around places near and far, at the date line and at the antipode."""
+    rng = random.Random(2)
+    pairs = list(random_pairs(3000, 2, 1)) + list(random_pairs(3000, 3, 120)) + [
+        (48.871, 2.351, 48.870999999999995, 2.351), (10.0, 179.999, 10.0, -179.999), (0.0, 0.0, 0.0, 0.0),
+    ] + antipodes(2000, 6)
+    rows = []
+    for n, (a, b, c, d) in enumerate(pairs):
+        size = 10 ** rng.uniform(-5, 1)
+        places = [(max(-90.0, min(90.0, c + rng.uniform(0, size))), d + rng.uniform(0, size)) for _ in range(5)]
+        rows += [(n, a, b, *p) for p in places]
+    df = spark.createDataFrame(rows, "n int, ulat double, ulon double, lat double, lon double")
+    struct = "struct(" + ", ".join(x.rsplit(" ", 1)[0] + " as " + x.rsplit(" ", 1)[1] for x in geo.point_columns("lat", "lon")) + ")"
+    placed = df.withColumn("m", geo.geodesic_m(*map(F.col, ("ulat", "ulon", "lat", "lon")))).selectExpr("*", f"{struct} p")
+    boxes = placed.groupBy("n", "ulat", "ulon").agg(
+        F.expr("min(m) m"), F.expr("min(p.u) u_min"), F.expr("max(p.u) u_max"), F.expr("min(p.lam) lon_min"),
+        F.expr("max(p.lam) lon_max"), F.expr("min_by(p, lat) one"), F.expr("max_by(p, lon) two"),
+        F.expr("max(lat) - min(lat) + max(lon) - min(lon) size"))
+    got = geo.box_bounds(boxes.selectExpr("*", *geo.point_columns("ulat", "ulon")), ["m", "size"], ["one", "two"]).collect()
+    assert len(got) == len(pairs)
+    for r in got:
+        assert r.floor <= r.m <= r.ceiling, r
+        # as tight as the box is small, far away too
+        assert r.m > 1.4e7 or r.ceiling - r.floor <= 1.6e5 * r["size"] + 0.1, r
 
 
 def brute(points, stations):
@@ -148,6 +156,20 @@ def test_points_at_the_other_end_of_the_earth(spark):
     check(p, s, 4)
 
 
+@pytest.mark.parametrize("shift", [(0.35, 0.45), (9.0, 0.0), (-48.85, -2.35), (-60.0, 100.0)])
+def test_far_points_are_compared_with_few_stations(spark, shift):
+    """Diagonally off the area, 1,000 km away, near 0/0 and further: a fraction of 4,000 stations is compared."""
+    rng = random.Random(8)
+    stations = [(48.8 + rng.uniform(0, 0.1), 2.25 + rng.uniform(0, 0.17)) for _ in range(4000)]
+    points = [(48.85 + shift[0] + rng.uniform(0, 0.05), 2.33 + shift[1] + rng.uniform(0, 0.05)) for _ in range(30)]
+    s, p = make(spark, stations, points)
+    check(p, s, 64)
+    places = s.select("lat", "lon", "stationcode", "name")
+    tree = nearest._build_tree(places, 64)
+    compared = nearest._compared(nearest._walk(p.select("ulat", "ulon"), tree), tree)
+    assert max(r["count"] for r in compared.groupBy("ulat", "ulon").count().collect()) < 300
+
+
 def test_date_line(spark):
     stations = [(10.0, 179.9), (10.0, -179.95), (10.0, 0.0), (12.0, 170.0), (-5.0, -170.0)]
     s, p = make(spark, stations, [(10.0, 179.99), (10.0, -179.8), (0.0, 179.0), (11.0, 181.0)])
