@@ -49,18 +49,35 @@ def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
     return groups.agg(F.min(F.struct(*values)).alias("_row")).select(key, "_row.*")
 
 
+# A raw line break cannot be part of a JSON string, so it is one between objects.
+BETWEEN_OBJECTS = r"(?<=\})\s*\n\s*(?=\{)"
+
+
+def _objects(lookups: DataFrame, *keep: str) -> DataFrame:
+    """One row per object of `value`, with its entries; null entries where it cannot be read.
+
+    An object with more text behind it on its line is an error, as that text
+    would be lost. A map column keeps a wide object away from the schema and
+    the driver.
+    """
+    objects = lookups.select(*keep, F.explode(F.split("value", BETWEEN_OBJECTS)).alias("object"))
+    objects = objects.where(F.trim("object") != "")
+    whole = F.from_json(F.concat(F.lit("["), "object", F.lit("]")), "array<map<string,string>>")
+    first = F.from_json(F.col("object"), "map<string,string>")
+    lost = F.raise_error(F.lit("a lookup has text behind its first object")).cast("array<map<string,string>>")
+    return objects.withColumn("entries", F.when(whole.isNotNull(), whole).when(first.isNotNull(), lost))
+
+
 def lookup_to_rows(objects: DataFrame, key: str = "stationcode", value: str = "name_custom") -> DataFrame:
     """JSON objects in column `value`, one row per entry.
 
-    A value may hold several objects, on lines of their own. One that cannot
-    be read gives no rows; one with more text behind its first object is an
-    error. A map column keeps a wide object away from the schema and the
-    driver.
+    A value may hold several objects, on lines of their own. Each is read by
+    itself: one that cannot be read gives no rows and takes no other with it;
+    unreadable_objects lists it.
     """
-    # a raw line break cannot be part of a JSON string, so it is one between objects
-    listed = F.concat(F.lit("["), F.regexp_replace("value", r"\}\s*\n\s*\{", "},{"), F.lit("]"))
-    parts = F.from_json(listed, "array<map<string,string>>")
-    first = F.from_json(F.col("value"), "map<string,string>")
-    lost = F.raise_error(F.lit("a lookup has text behind its first object")).cast("array<map<string,string>>")
-    entries = F.when(parts.isNotNull(), parts).when(first.isNotNull(), lost)
-    return objects.select(F.explode(entries).alias("_entries")).select(F.explode("_entries").alias(key, value))
+    return _objects(objects).select(F.explode("entries").alias("_entries")).select(F.explode("_entries").alias(key, value))
+
+
+def unreadable_objects(objects: DataFrame, *keep: str) -> DataFrame:
+    """The objects in column `value` that cannot be read, with the columns `keep`."""
+    return _objects(objects, *keep).where("entries IS NULL").select(*keep, "object")

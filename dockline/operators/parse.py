@@ -53,19 +53,22 @@ def derive(stations: DataFrame, ingest_time: Column | None = None) -> DataFrame:
 
 
 # Columns by which rows of one poll are told from those of another.
-POLL = ("polled_at", "page_offset", "total_count")
+POLL_KEY = "^[0-9]{1,18}:[0-9]{1,18}$"
+POLL = ("polled_at", "page_offset", "total_count", "page_stations")
 
 
 def poll_identity(messages: DataFrame) -> DataFrame:
-    """Add when the message's page was polled, where the page starts and how many stations the poll has.
+    """Add when the message's page was polled, where the page starts, and how many stations poll and page have.
 
     The first two come from the key that the poll job writes; with another key
     or none they are null.
     """
     key = F.col("key").cast("string")
-    part = lambda i: F.when(key.rlike("^[0-9]{1,18}:[0-9]{1,18}$"), F.get(F.split(key, ":"), F.lit(i))).cast("bigint")
-    total = F.get_json_object(F.col("value").cast("string"), "$.total_count")
-    return messages.withColumns(dict(zip(POLL, (part(0), part(1), total.try_cast("bigint")), strict=True)))
+    part = lambda i: F.when(key.rlike(POLL_KEY), F.get(F.split(key, ":"), F.lit(i))).cast("bigint")
+    value = F.col("value").cast("string")
+    total = F.get_json_object(value, "$.total_count").try_cast("bigint")
+    stations = F.json_array_length(F.get_json_object(value, "$.results")).cast("bigint")
+    return messages.withColumns(dict(zip(POLL, (part(0), part(1), total, stations), strict=True)))
 
 
 def transform(

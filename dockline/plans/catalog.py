@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,12 @@ def station_pages(spark: SparkSession, sf: str) -> DataFrame:
     return as_delivered(envelope.make_envelopes(rows, envelope.page_of(F.col("stationcode")), total))
 
 
+def keyed(pages: DataFrame, polled_at: int) -> DataFrame:
+    """Pages with the keys that the poll job writes."""
+    key = F.concat(F.lit(f"{polled_at}:"), (F.col("page") * envelope.PAGE_SIZE).cast("string"))
+    return pages.select(key.alias("key"), "value")
+
+
 def report_rows(events: DataFrame) -> DataFrame:
     rows = views.view(events.sparkSession, views.REPORTS, events=events)
     return rows.withColumns({
@@ -124,6 +131,23 @@ def q_poll_errors(spark, sf):
     return polled.select("page_offset", F.col("_error").isNotNull().alias("failed"))
 
 
+@query
+def q_poll_retry(spark, sf):
+    """The first of two polls, of which two pages fail at first and come with the second."""
+    out = scratch_dir(spark, "poll-retry")
+    total = views.table(spark, sf, "customer").agg(F.count("*")).scalar()
+    limit = envelope.PAGE_SIZE
+    pages = envelope.make_envelopes(stations(spark, sf), envelope.page_of(F.col("stationcode"), limit), total)
+    for part in ("page not in (1, 4)", "page in (1, 4)"):
+        offset = (F.col("page") * limit).alias("offset")
+        pages.where(part).select(offset, "value").write.mode("append").partitionBy("offset").text(f"{out}/pages")
+        polled = poll.poll(spark, stream=True, url=out + "/pages/offset={offset}", limit=limit, pages_per_task=4, state=f"{out}/missing")
+        send = functools.partial(topic.write_log, path=f"{out}/topic", topic="stations")
+        jobs.drain(ingest.split_polled(polled, send, f"{out}/errors", f"{out}/checkpoint"))
+    log = parse.poll_identity(topic.read_log(spark, f"{out}/topic"))
+    return parse.transform(log.where(F.col("polled_at") == log.agg(F.min("polled_at")).scalar())).select(*FEED)
+
+
 @query
 def q_make_envelope(spark, sf):
     parsed = parse.parse_json(station_pages(spark, sf), keep=["page"])
@@ -143,9 +167,9 @@ def q_topic_write(spark, sf):
 
 @query
 def q_topic_read(spark, sf):
-    log = event_log(views.table_stream(spark, sf, "events"))
     out = scratch_dir(spark, "topic-read")
-    rows = topic.message_text(log, "topic", "partition", "offset")
+    event_log(views.table(spark, sf, "events")).write.parquet(f"{out}/log")
+    rows = topic.message_text(topic.stream_log(spark, f"{out}/log"), "topic", "partition", "offset")
     jobs.drain(
         rows.writeStream.format("parquet").option("path", f"{out}/rows")
         .option("checkpointLocation", f"{out}/checkpoint")
@@ -167,9 +191,17 @@ def q_stream_to_json(spark, sf):
 
 @query
 def q_lookup_scan(spark, sf):
+    """Objects over many lines, two of them broken: all others come back, the broken ones are reported."""
     path = scratch_dir(spark, "lookup")
-    lookup.write_lookup(all_codes(spark, sf), path, objects=8)
-    return lookup.read_lookup(spark, path)
+    objects = lookup.lookup_objects(all_codes(spark, sf), objects=8)
+    pretty = F.regexp_replace(F.regexp_replace("value", '","', '",\n  "'), r"^\{|\}$", "")
+    objects = objects.select(F.concat(F.lit("{\n  "), pretty, F.lit("\n}")).alias("value"))
+    broken = ('{\n  "x1": "lost",\n  "x2": lost\n}', '{\n  "x3": "not closed",')
+    faulty = spark.createDataFrame([(b,) for b in broken], "value string")
+    objects.unionByName(faulty).coalesce(2).write.text(path)
+    reported = lookup.lookup_errors(spark, path, multiline=True).select(
+        F.lit("error").alias("stationcode"), F.trim("text").alias("name_custom"))
+    return lookup.read_lookup(spark, path, multiline=True).unionByName(reported)
 
 
 @query
@@ -193,9 +225,26 @@ def q_latest_per_station(spark, sf):
     return rows.select("event_id", "stationcode", "ebike", "mechanical", "numdocksavailable")
 
 
+@query
+def q_latest_file(spark, sf):
+    """The newest of three files."""
+    path = scratch_dir(spark, "files")
+    rows = derived(spark, sf)
+    for ebikes in (-2, -1, 0):
+        snapshot.write_snapshots(rows.withColumn("ebike", F.col("ebike") + ebikes).coalesce(1), path)
+    return snapshot.latest_file(snapshot.read_snapshots(spark, path)).select(*FEED)
+
+
 @query
 def q_empty_input(spark, sf):
-    return kpi.kpis(stations(spark, sf).where("capacity < 0"))
+    """Indicators of nothing: a folder that is missing, one that is empty, and one where a stream has only committed nothing."""
+    out = scratch_dir(spark, "no-input")
+    topic.write_log(station_pages(spark, sf).where("false"), f"{out}/topic", "stations")
+    log = topic.stream_log(spark, f"{out}/topic")
+    jobs.drain(ingest.messages_to_json(log, f"{out}/committed", f"{out}/checkpoint"))
+    snapshot.write_snapshots(derived(spark, sf).where("capacity < 0"), f"{out}/empty")
+    return functools.reduce(DataFrame.unionByName, (
+        kpi.kpis(snapshot.read_newest(spark, f"{out}/{name}")) for name in ("missing", "empty", "committed")))
 
 
 @query
@@ -250,34 +299,43 @@ def q_topic_offsets(spark, sf):
     return topic.topic_offsets(event_log(views.table(spark, sf, "events")))
 
 
+@query
+def q_topic_gaps(spark, sf):
+    """Offsets missing in a log whose older half is gone, and what a reader lost who had read a tenth of it."""
+    out = scratch_dir(spark, "topic-gaps")
+    events = views.table(spark, sf, "events")
+    count = events.agg(F.count("*")).scalar()
+    for part, rows in (("old", F.col("event_id") < count / 2), ("new", F.col("event_id") >= count / 2)):
+        event_log(events.where(rows)).write.parquet(f"{out}/{part}")
+    read_to = topic.topic_offsets(topic.read_log(spark, f"{out}/old").where(F.col("offset") < count / 10))
+    return topic.topic_gaps(topic.read_log(spark, f"{out}/new"), read_to, block=500)
+
+
 @query
 def q_snapshot_end_to_end(spark, sf):
     """The newest complete poll, through topic and JSON files.
 
     The poll of time 2000 spans two micro-batches, of which each also holds
-    pages of another poll; the last poll lacks pages.
+    pages of another poll; it lists one station twice and one page of it comes
+    twice. The last poll lacks pages.
     """
     out = scratch_dir(spark, "polls")
     rows = stations(spark, sf)
-    total = views.table(spark, sf, "customer").agg(F.count("*")).scalar()
+    rows = rows.unionByName(rows.where("stationcode = '7'"))
+    total = views.table(spark, sf, "customer").agg(F.count("*") + 1).scalar()
     page = envelope.page_of(F.col("stationcode"))
     current = envelope.make_envelopes(rows, page, total)
     other = envelope.make_envelopes(rows.withColumn("ebike", F.col("ebike") - 1000), page, total)
 
-    def keyed(pages, polled_at):
-        key = F.concat(F.lit(f"{polled_at}:"), (F.col("page") * envelope.PAGE_SIZE).cast("string"))
-        return pages.select(key.alias("key"), "value")
-
     batches = (
         keyed(other, 1000).unionByName(keyed(current.where("page % 2 = 0"), 2000)),
-        keyed(current.where("page % 2 = 1"), 2000).unionByName(keyed(other.where("page % 3 = 0"), 3000)),
+        keyed(current.where("page % 2 = 1 OR page = 0"), 2000).unionByName(keyed(other.where("page % 3 = 0"), 3000)),
     )
     for batch in batches:
         topic.write_log(batch, f"{out}/topic", "stations")
         log = parse.poll_identity(topic.stream_log(spark, f"{out}/topic"))
-        jobs.drain(ingest.messages_to_json(log, f"{out}/rows", f"{out}/checkpoint", keep=parse.POLL))
-    saved = snapshot.read_snapshots(spark, f"{out}/rows", schemas.SNAPSHOT)
-    return snapshot.newest_poll(saved).select(*FEED)
+        jobs.drain(ingest.messages_to_json(log, f"{out}/rows", f"{out}/checkpoint", by_date=True, keep=parse.POLL))
+    return snapshot.read_newest(spark, f"{out}/rows").select(*FEED)
 
 
 # -- projections and scalar expressions -------------------------------------
@@ -549,3 +607,34 @@ def q_stream_kpis(spark, sf):
     measures = ["nb_stations", "nb_full", "nb_empty", "total_ebike", "total_docks"]
     by_area = by_area.groupBy("arrondissement").agg(*[F.sum(c).alias(c) for c in measures])
     return by_area.unionByName(total.select(F.lit("*").alias("arrondissement"), *measures))
+
+
+@query
+def q_stream_poll_kpis(spark, sf):
+    """Indicators of whole polls.
+
+    The first poll comes in two batches, and some of its pages twice; the
+    third only shows that time has passed; of the fourth, long over, a page
+    comes late.
+    """
+    out = scratch_dir(spark, "stream-poll-kpis")
+    rows = stations(spark, sf)
+    total = views.table(spark, sf, "customer").agg(F.count("*")).scalar()
+    page = envelope.page_of(F.col("stationcode"))
+    current = envelope.make_envelopes(rows, page, total)
+    other = envelope.make_envelopes(rows.withColumn("ebike", F.col("ebike") + 1000), page, total)
+    first, second, third = 1_700_000_000_000, 1_700_000_010_000, 1_700_000_600_000
+    batches = (
+        keyed(current.where("page % 2 = 0"), first),
+        keyed(current.where("page % 2 = 1 OR page % 3 = 0"), first).unionByName(keyed(other, second)),
+        keyed(other.where("page = 0"), third).unionByName(keyed(other.where("page = 0"), 1000)),
+    )
+    for batch in batches:
+        topic.write_log(batch, f"{out}/topic", "stations")
+        log = topic.stream_log(spark, f"{out}/topic", "stations")
+        jobs.drain(jobs.write_poll_areas(log, f"{out}/areas", f"{out}/checkpoint"))
+    areas = jobs.read_poll_areas(spark, f"{out}/areas")
+    measures = ["nb_stations", "nb_full", "nb_empty", "total_ebike", "total_docks"]
+    whole = jobs.poll_indicators(areas).select(
+        "polled_at", F.when(F.col("complete"), F.lit("*")).otherwise(F.lit("incomplete")).alias("arrondissement"), *measures)
+    return areas.select("polled_at", "arrondissement", *measures).unionByName(whole)

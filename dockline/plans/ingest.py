@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from dockline.operators.parse import POLL, poll_identity, transform
+from dockline.operators.parse import POLL, transform
 from dockline.sources import poll, topic
 from dockline.streaming import jobs
 
@@ -19,20 +19,22 @@ def poll_to_kafka(
 ) -> StreamingQuery:
     """Poll the API at a fixed interval and send each page to a topic.
 
-    A page that fails is left out, polled again at the next trigger and, with
-    `errors_path`, reported there as a JSON row.
+    A page that fails is reported as a JSON row in `errors_path`, by default
+    beside the checkpoint, and asked for again with the next poll.
     """
+    base = checkpoint.rstrip("/")
+    poll_options.setdefault("state", f"{base}-missing")
     polled = poll.poll(spark, stream=True, url=url, **poll_options)
-    if errors_path is None:
-        return jobs.run(topic.stream_to_kafka(poll.messages(polled), servers, checkpoint, to), seconds)
     send = functools.partial(topic.write_kafka, servers=servers, topic=to)
-    return jobs.run(split_polled(polled, send, errors_path, checkpoint), seconds)
+    return jobs.run(split_polled(polled, send, errors_path or f"{base}-errors", checkpoint), seconds)
 
 
 def split_polled(polled: DataFrame, send, errors_path: str, checkpoint: str) -> DataStreamWriter:
     """A stream that gives the messages of each poll to `send` and appends its errors to a folder.
 
-    The batch is kept for both, or else the second would poll again.
+    The batch is kept for both, or else the second would poll again. If it
+    fails in between, the same poll is sent again with the same keys;
+    jobs.unique_pages on the reading side keeps each page once.
     """
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
@@ -65,6 +67,18 @@ def kafka_to_json(
     code_lookup: DataFrame | None = None, seconds: int | None = None, by_date: bool = False,
     **kafka_options,
 ) -> StreamingQuery:
-    """Read a topic and keep station rows, with the poll they come from, on disk until stopped."""
-    log = poll_identity(topic.kafka_stream(spark, servers=servers, topic=topic_name, **kafka_options))
+    """Read a topic and keep station rows, with the poll they come from, on disk until stopped.
+
+    A page that the producer sent twice is kept once.
+    """
+    log = jobs.unique_pages(topic.kafka_stream(spark, servers=servers, topic=topic_name, **kafka_options))
     return jobs.run(messages_to_json(log, path, checkpoint, code_lookup, by_date=by_date, keep=POLL), seconds)
+
+
+def kafka_to_indicators(
+    spark: SparkSession, servers: str, topic_name: str, path: str, checkpoint: str,
+    seconds: int | None = None, delay: str = jobs.PAGE_DELAY, **kafka_options,
+) -> StreamingQuery:
+    """Read a topic and keep the area measures of every finished poll until stopped."""
+    log = topic.kafka_stream(spark, servers=servers, topic=topic_name, **kafka_options)
+    return jobs.run(jobs.write_poll_areas(log, path, checkpoint, delay), seconds)

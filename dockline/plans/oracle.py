@@ -104,6 +104,7 @@ ORACLE: dict[str, str] = {
     "snapshot_end_to_end": WITH + FEED,
     "poll_errors": """select page * 100 page_offset, page % 7 = 3 failed from (
         select distinct c_custkey // 100 page from customer)""",
+    "poll_retry": WITH + FEED,
     "make_envelope": WITH + f"""select page, (select count(*) from st)::bigint total_count,
         count(*)::int stations, sum(ebike)::bigint ebikes
         from (select *, stationcode::bigint // {PAGE_SIZE} page from st) group by page""",
@@ -113,7 +114,8 @@ ORACLE: dict[str, str] = {
     "stream_to_json": WITH + f"""select stationcode, numbikesavailable, numdocksavailable, ebike, duedate,
         numdocksavailable = 0 is_full, case when ebike > mechanical then 'electrique'
         when ebike < mechanical then 'mecanique' else 'egal' end type_dominant from {REPORT}""",
-    "lookup_scan": ALL_CODES,
+    "lookup_scan": ALL_CODES + """ union all select 'error', '"x2": lost' union all select 'error', ''""",
+    "latest_file": WITH + FEED,
     "snapshot_scan": WITH + """select stationcode, name, numbikesavailable, numdocksavailable, capacity,
         mechanical, ebike, is_installed, is_renting, is_returning, duedate, lat, lon, arrondissement,
         code_insee_commune, is_full, type_dominant, null::varchar name_custom from st""",
@@ -124,7 +126,7 @@ ORACLE: dict[str, str] = {
               from reports where poll_ts = (select max(poll_ts) from reports)) where rn = 1""",
     "empty_input": kpi(
         f"nb_stations, nb_full, nb_empty, nb_active, {TOTALS}, nb_stations - nb_active nb_inactive, "
-        f"{RATES}, {PERCENT}", "(select * from st where capacity < 0)"),
+        f"{RATES}, {PERCENT}", "(select * from st where capacity < 0)") + ", range(3)",
     "lookup_write": ALL_CODES,
     "lookup_literal": "select c_custkey, c_mktsegment as name, case c_mktsegment "
         + " ".join(f"when '{k}' then '{v}'" for k, v in LITERAL.items())
@@ -136,6 +138,15 @@ ORACLE: dict[str, str] = {
         event_id "offset", props "value" from events where event_type in ('click', 'view', 'error')""",
     "topic_offsets": """select concat('shop.', event_type) topic, (user_id % 4)::int "partition",
         min(event_id) first_offset, max(event_id) + 1 next_offset from events group by 1, 2""",
+    "topic_gaps": """with log as (select concat('shop.', event_type) topic, (user_id % 4)::int "partition",
+          event_id "offset", event_id >= (select count(*) from events) / 2e0 kept,
+          event_id < (select count(*) from events) / 10e0 was_read from events),
+        steps as (select topic, "partition", "offset", lead("offset") over (
+            partition by topic, "partition" order by "offset") following from log where kept
+          union all select topic, "partition", max("offset") filter (was_read), min("offset") filter (kept)
+          from log group by 1, 2)
+        select topic, "partition", "offset" + 1 from_offset, following - 1 to_offset from steps
+        where following > "offset" + 1""",
     "parse_json": "select event_id, cast(json_extract(props, '$.k') as integer) k from events",
     "parse_station": WITH + """select stationcode, name, numbikesavailable, numdocksavailable, capacity,
         mechanical, ebike, is_installed, is_renting, is_returning, duedate, lat, lon, arrondissement,
@@ -201,6 +212,11 @@ ORACLE: dict[str, str] = {
     "stream_enrich": WITH + f"""select stationcode, duedate, name_custom from {REPORT}
         left join code_lookup using (stationcode)""",
     "stream_restart": WITH + FEED,
+    "stream_poll_kpis": WITH + " union all ".join(
+        f"""select {1_700_000_000_000 + 10_000 * n}::bigint polled_at, {area} arrondissement,
+        count(*) nb_stations, count(*) filter (is_full) nb_full, count(*) filter (is_empty) nb_empty,
+        sum(ebike + {1000 * n})::bigint total_ebike, sum(numdocksavailable)::bigint total_docks from st {group}"""
+        for n in (0, 1) for area, group in (("arrondissement", "group by arrondissement"), ("'*'", ""))),
     "stream_kpis": WITH + f"""select event_type arrondissement, {_AREA} from reports group by 1
         union all select '*', {_AREA} from reports""",
 }

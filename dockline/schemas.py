@@ -85,7 +85,7 @@ TOPIC_LOG = T.StructType([
 CODE_LOOKUP = T.StructType([T.StructField("stationcode", _S), T.StructField("name_custom", _S)])
 DEPARTMENT_LOOKUP = T.StructType([T.StructField("name", _S), T.StructField("department", _S)])
 
-# Station rows on disk with the poll they come from.
+# Station rows on disk with the poll they come from, and the stations that their page holds.
 SNAPSHOT = T.StructType(STATION_OUT.fields + [
-    T.StructField(name, T.LongType()) for name in ("polled_at", "page_offset", "total_count")
+    T.StructField(name, T.LongType()) for name in ("polled_at", "page_offset", "total_count", "page_stations")
 ])

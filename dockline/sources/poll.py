@@ -7,21 +7,27 @@
 Options
     url             address template with the placeholders {limit} and {offset};
                     http, https, or any file system address that pyarrow opens
-    path            instead of url: a folder of saved responses, one per line
     limit           stations per page, default 100
     pages_per_task  pages one task fetches, default 1
     timeout         seconds per request, default 10
+    state           streams only: a folder that all machines share, where pages
+                    that failed are noted to be asked for again
+    page_tries      how often a page of one poll is asked for, default 3
 
 Rows are (page_offset, value, _error, polled_at); all pages of one poll share
 their polled_at, in milliseconds, which saved responses lack. A page that cannot be read gives one
-row with `_error` set and a null `value`; the other pages are not affected and
-the next poll tries again. If the first page does not state the count of
-stations in PLAN_TRIES requests, the poll is one such row for page 0.
+row with `_error` set and a null `value`; the other pages are not affected. If
+the first page does not state the count of stations in PLAN_TRIES requests, the
+poll is one such row for page 0.
+
+A stream polls once per trigger. Its offset names the poll, the stations it has
+and the pages of earlier polls that are still missing, so a batch that runs
+again is the same poll with the same keys. With `state`, a page that failed is
+part of the next batch, under the poll it belongs to.
 """
 
 from __future__ import annotations
 
-import io
 import json
 import sys
 import time
@@ -30,6 +36,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -51,6 +58,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class PagesPartition(InputPartition):
     offsets: Sequence[int]
     polled_at: int | None = None
+    tried: int = 0
 
 
 @dataclass
@@ -59,12 +67,6 @@ class FailedPlan(InputPartition):
     polled_at: int | None = None
 
 
-@dataclass
-class FilePartition(InputPartition):
-    folder: str
-    name: str
-
-
 def _open(address: str):
     """File system and path of an address; a bare path is a local one."""
     from pyarrow import fs
@@ -109,38 +111,34 @@ class _Pages:
 
     def __init__(self, options):
         self.url = options.get("url")
-        self.path = options.get("path")
-        if bool(self.url) == bool(self.path):
+        if not self.url:
             raise ValueError("give either the option url or the option path")
         self.limit = int(options.get("limit", 100))
         self.pages_per_task = int(options.get("pages_per_task", 1))
         self.timeout = float(options.get("timeout", 10))
+        self.state = options.get("state")
+        self.page_tries = int(options.get("page_tries", 3))
 
-    def plan(self) -> list[InputPartition]:
-        """Pages up to the total count the first page states."""
-        if self.path:
-            try:
-                return [FilePartition(self.path, name) for name in _files(self.path)[1]]
-            except FileNotFoundError:
-                return []
-        now = time.time_ns() // 1_000_000
+    def count(self) -> tuple[int | None, str | None]:
+        """The count of stations that the first page states, or why it is unknown."""
         for left in reversed(range(PLAN_TRIES)):
             try:
                 first = fetch(self.url.format(limit=self.limit, offset=0), self.timeout)
-                total = int(json.loads(first)["total_count"])
-                break
+                return int(json.loads(first)["total_count"]), None
             except Exception as error:
                 # Without the count the pages are unknown; reading the first alone would lose the others unseen.
                 if not left:
-                    return [FailedPlan(f"no page count: {type(error).__name__}: {error}", now)]
+                    return None, f"no page count: {type(error).__name__}: {error}"
+
+    def plan(self, polled_at: int, total: int | None, error: str | None) -> list[InputPartition]:
+        """All pages of a poll."""
+        if total is None:
+            return [FailedPlan(error, polled_at)]
         offsets = range(0, max(total, 1), self.limit)
         step = self.pages_per_task
-        return [PagesPartition(offsets[i:i + step], now) for i in range(0, len(offsets), step)]
+        return [PagesPartition(offsets[i:i + step], polled_at) for i in range(0, len(offsets), step)]
 
     def rows(self, partition: InputPartition) -> Iterator[tuple]:
-        if isinstance(partition, FilePartition):
-            yield from self._saved(partition)
-            return
         if isinstance(partition, FailedPlan):
             yield 0, None, partition.error, partition.polled_at
             return
@@ -148,16 +146,34 @@ class _Pages:
             try:
                 yield offset, fetch(self.url.format(limit=self.limit, offset=offset), self.timeout), None, partition.polled_at
             except Exception as error:
+                if self.state and partition.tried + 1 < self.page_tries:
+                    self._note(partition.polled_at, offset, partition.tried + 1)
                 yield offset, None, f"{type(error).__name__}: {error}", partition.polled_at
 
-    def _saved(self, partition: FilePartition) -> Iterator[tuple]:
-        try:
-            with _open(partition.folder)[0].open_input_stream(partition.name) as stream:
-                for line in io.TextIOWrapper(stream, encoding="utf-8"):
-                    if line.strip():
-                        yield None, line.rstrip("\n"), None, None
-        except Exception as error:
-            yield None, None, f"{type(error).__name__}: {error}", None
+    # -- pages to ask for again, one empty file each in the folder `state` --
+
+    def _note(self, *page: int) -> None:
+        system, path = _open(self.state)
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/" + "_".join(map(str, page))) as stream:
+            stream.write(b"")
+
+    def missing(self) -> list[list[int]]:
+        """Pages to ask for again: time of the poll, page and tries so far."""
+        from pyarrow import fs
+
+        system, path = _open(self.state)
+        found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        return sorted([int(x) for x in f.base_name.split("_")] for f in found if f.base_name[0].isdigit())
+
+    def forget(self, pages: Sequence[Sequence[int]]) -> None:
+        from pyarrow import fs
+
+        system, path = _open(self.state)
+        for page in pages:
+            name = f"{path}/" + "_".join(map(str, page))
+            if system.get_file_info(name).type == fs.FileType.File:
+                system.delete_file(name)
 
 
 class PollReader(DataSourceReader):
@@ -165,18 +181,18 @@ class PollReader(DataSourceReader):
         self.pages = _Pages(options)
 
     def partitions(self):
-        # Spark wants at least one partition to read.
-        return self.pages.plan() or [PagesPartition(())]
+        return self.pages.plan(time.time_ns() // 1_000_000, *self.pages.count())
 
     def read(self, partition):
         return self.pages.rows(partition)
 
 
 class PollStreamReader(DataSourceStreamReader):
-    """One poll of all pages per trigger.
+    """One poll of all pages per trigger, and pages that earlier polls lack.
 
-    The offset is the time of the poll. A batch that is run again after a
-    failure polls anew, as the API keeps no history.
+    All that a batch asks for follows from its end offset. A batch that is run
+    again after a failure asks anew, as the API keeps no history, but for the
+    same pages under the same poll; who reads by poll and page sees each once.
     """
 
     def __init__(self, options):
@@ -186,16 +202,24 @@ class PollStreamReader(DataSourceStreamReader):
         return {"polled_at": 0}
 
     def latestOffset(self):
-        return {"polled_at": time.time_ns() // 1_000_000}
+        now = time.time_ns() // 1_000_000
+        total, error = self.pages.count()
+        retry = self.pages.missing() if self.pages.state else []
+        return {"polled_at": now, "total": total, "error": error, "retry": retry}
 
     def partitions(self, start, end):
-        return self.pages.plan() or [PagesPartition(())]
+        # Offsets of an earlier version name the time alone.
+        total, error = (end.get("total"), end.get("error")) if "total" in end else self.pages.count()
+        again = [PagesPartition([offset], polled_at, tried) for polled_at, offset, tried in end.get("retry", [])]
+        return again + self.pages.plan(end["polled_at"], total, error)
 
     def read(self, partition):
         return self.pages.rows(partition)
 
     def commit(self, end):
-        pass
+        # Those that failed once more are noted anew, with one more try.
+        if self.pages.state:
+            self.pages.forget(end.get("retry", []))
 
 
 class StationPoll(DataSource):
@@ -213,13 +237,32 @@ class StationPoll(DataSource):
         return PollStreamReader(self.options)
 
 
-def poll(spark, stream: bool = False, **options):
-    """The poll source as a DataFrame; options as in the module text."""
+def poll(spark, stream: bool = False, path: str | None = None, **options):
+    """The poll source as a DataFrame; options as in the module text.
+
+    `path` instead of `url` names a folder of saved responses, one per line;
+    a plain text scan reads them, and a folder that is not there gives none.
+    """
+    if path is not None and "url" not in options:
+        return _saved(spark, path, stream)
+    if path is not None:
+        raise ValueError("give either the option url or the option path")
     spark.dataSource.register(StationPoll)
     reader = (spark.readStream if stream else spark.read).format(FORMAT)
     return reader.options(**{k: str(v) for k, v in options.items()}).load()
 
 
+def _saved(spark, path: str, stream: bool):
+    try:
+        lines = (spark.readStream if stream else spark.read).text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCHEMA)
+    return lines.where("trim(value) <> ''").selectExpr(
+        "cast(null AS bigint) page_offset", "value", "cast(null AS string) _error", "cast(null AS bigint) polled_at")
+
+
 def messages(polled):
     """The pages that were read, as messages; their key names the poll and the page."""
     return polled.where("_error IS NULL").selectExpr("concat_ws(':', polled_at, page_offset) AS key", "value")

@@ -6,7 +6,7 @@ broker is at hand, such as replays and tests.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockline import schemas
@@ -159,3 +159,30 @@ def topic_offsets(log: DataFrame) -> DataFrame:
     return log.groupBy("topic", "partition").agg(
         F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("next_offset")
     )
+
+
+# Offsets that one window looks at.
+GAP_BLOCK = 1_000_000
+
+
+def topic_gaps(log: DataFrame, read_to: DataFrame | None = None, block: int = GAP_BLOCK) -> DataFrame:
+    """Offsets that a topic partition lacks: topic, partition, from_offset, to_offset, the first and last of each gap.
+
+    With `read_to`, the next offset a reader wanted of each topic partition
+    (topic, partition, next_offset), also what was deleted before the reader
+    came to it; that is what a stream skips when it tolerates lost offsets. A
+    partition of the log that is gone altogether is not a gap. Offsets are
+    looked at in blocks, so a hot partition is many tasks.
+    """
+    key = ["topic", "partition"]
+    placed = log.select(*key, "offset", F.floor(F.col("offset") / block).alias("_block"))
+    inside = placed.withColumn("_next", F.lead("offset").over(Window.partitionBy(*key, "_block").orderBy("offset")))
+    ends = placed.groupBy(*key, "_block").agg(F.min("offset").alias("_first"), F.max("offset").alias("offset"))
+    across = ends.withColumn("_next", F.lead("_first").over(Window.partitionBy(*key).orderBy("_block")))
+    steps = inside.select(*key, "offset", "_next").unionByName(across.select(*key, "offset", "_next"))
+    if read_to is not None:
+        first = ends.groupBy(*key).agg(F.min("_first").alias("_next"))
+        wanted = read_to.select(*key, (F.col("next_offset") - 1).alias("offset"))
+        steps = steps.unionByName(wanted.join(first, key).select(*key, "offset", "_next"))
+    return steps.where("_next > offset + 1").select(
+        *key, (F.col("offset") + 1).alias("from_offset"), (F.col("_next") - 1).alias("to_offset"))
