@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from dockline.functions import geo, station
-from dockline.plans import board, views
-from dockline.plans.catalog import CENTRE
-from dockline.operators.envelope import PAGE_SIZE
+from dockline.plans import views
+
+# Fixed values, written out here so that a wrong one in the library is noticed.
+EQUATOR_M, FLATTENING = 6378137.0, 1 / 298.257223563
+CENTRE = (48.8566, 2.3522)
+PAGE_SIZE = 100
+RED, BLUE, ORANGE, GREEN = (255, 0, 0, 160), (0, 100, 255, 160), (255, 140, 0, 160), (0, 255, 127, 160)
+USER_LABEL, NEAREST_LABEL = "Vous êtes ici", "Station la plus proche"
 
 WITH = "with " + ",\n".join(
     f"{name} as ({views.duckdb(sql)})"
@@ -25,9 +29,9 @@ st as (select *, numdocksavailable = 0 is_full, numbikesavailable = 0 is_empty,
 
 def distance(lat1: str, lon1: str, lat2: str, lon2: str, source: str, keep: str) -> str:
     """Andoyer-Lambert distance over the rows of `source`, keeping some columns."""
-    f = repr(geo.FLATTENING)
+    f = repr(FLATTENING)
     return f"""(
-      select *, case when h = 0 then 0e0 else {geo.EQUATOR_M!r}e0 * (sigma - {f}e0 / 2 * (
+      select *, case when h = 0 then 0e0 else {EQUATOR_M!r}e0 * (sigma - {f}e0 / 2 * (
           (sigma - 2 * sqrt(h * (1 - h))) * pow(sin(p) * cos(q), 2) / (1 - h)
         + (sigma + 2 * sqrt(h * (1 - h))) * pow(cos(p) * sin(q), 2) / h)) end distance_m
       from (select *, 2 * asin(sqrt(h)) sigma from (
@@ -78,8 +82,8 @@ def kpi(columns: str, source: str = "st") -> str:
 
 def _color() -> str:
     rules = (
-        ("numdocksavailable = 0", station.RED), ("numbikesavailable = 0", station.BLUE),
-        ("numdocksavailable <= 3", station.ORANGE), ("true", station.GREEN),
+        ("numdocksavailable = 0", RED), ("numbikesavailable = 0", BLUE),
+        ("numdocksavailable <= 3", ORANGE), ("true", GREEN),
     )
     channels = (
         "case " + " ".join(f"when {rule} then {rgba[i]}" for rule, rgba in rules) + f" end::int {c}"
@@ -171,8 +175,8 @@ ORACLE: dict[str, str] = {
         f"{CENTRE[0]}e0", f"{CENTRE[1]}e0", "lat", "lon", "st", "stationcode")}""",
     "route_geometry": NEAREST + """select user_id, ulon from_lon, ulat from_lat, lon to_lon, lat to_lat
         from found""",
-    "labelled_points": NEAREST + f"""select user_id, ulat lat, ulon lon, '{board.USER_LABEL}' as label
-        from found union all select user_id, lat, lon, '{board.NEAREST_LABEL}' from found""",
+    "labelled_points": NEAREST + f"""select user_id, ulat lat, ulon lon, '{USER_LABEL}' as label
+        from found union all select user_id, lat, lon, '{NEAREST_LABEL}' from found""",
     "full_stations": WITH + "select stationcode, name, is_full from st where is_full",
     "empty_stations": WITH + "select stationcode, name, numbikesavailable from st where is_empty",
     "active_stations": WITH + "select stationcode, is_installed, is_renting from st where is_active",

@@ -28,26 +28,32 @@ def build_session(app: str = "dockline", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def _own_folder(spark: SparkSession) -> str | None:
+    """This application's folder in the one that all executors share, if that is set."""
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/dockline/{spark.sparkContext.applicationId}" if base else None
+
+
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A new, unused path in the folder that all executors share.
 
     That is the folder of spark.checkpoint.dir, or the one set by
     SparkContext.setCheckpointDir; without either this raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if not base:
+    own = _own_folder(spark)
+    if not own:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/dockline/{tag}-{uuid.uuid4().hex}"
+    return f"{own}/{tag}-{uuid.uuid4().hex}"
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this session's shared folder.
+    """Delete the intermediate tables of this application; those of others that share the folder stay.
 
     For use between jobs: DataFrames that still read such a table fail afterwards.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if base:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/dockline")
+    own = _own_folder(spark)
+    if own:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

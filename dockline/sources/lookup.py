@@ -60,10 +60,11 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    rest = F.trim(F.regexp_replace("value", ENTRY, ""))
+    # strings that are no entry keep their quotes only, so that the braces left are those of objects
+    rest = F.trim(F.regexp_replace(F.regexp_replace("value", ENTRY, ""), STRING, '""'))
     lines = lines.select("*", F.regexp_extract_all("value", F.lit(ENTRY), 0).alias("entries"), rest.alias("rest"))
     # text behind an object is refused, not left out
-    behind = F.col("rest").rlike(r"\}\s*[^\s,]")
+    behind = F.col("rest").rlike(r"^[^\"]*\}\s*[^\s,\"][^\"]*$")
     refused = F.raise_error(F.lit("a lookup has text behind its first object")).cast("string")
     return lines.withColumn("rest", F.when(behind, refused).otherwise(F.col("rest"))).withColumns({
         "starts": F.col("value").rlike(r"^\s*\{").cast("int"),

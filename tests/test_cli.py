@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from dockline import __main__
 from dockline.__main__ import main
 
 
@@ -28,3 +29,8 @@ def test_lookup_job(spark, tmp_path):
 def test_arguments_are_checked():
     with pytest.raises(SystemExit):
         main(["ingest", "--topic", "t"])
+
+
+def test_read_options():
+    args = __main__.parser().parse_args("ingest --servers a --topic t --out o --checkpoint c --starting-offsets earliest --max-offsets-per-trigger 9".split())
+    assert __main__.read_options(args) == {"starting_offsets": "earliest", "min_partitions": None, "max_offsets_per_trigger": 9}

@@ -87,3 +87,29 @@ def test_department_default(spark, stations, by_code):
     out = enrich.enrich_department(stations, table)
     assert out.columns == stations.columns + ["department"]
     assert by_code(out, "department") == {c: {"2": "75", "3": "92"}.get(c, "Unknown") for c in "12345678"}
+
+
+def test_unreadable_object_takes_no_other_with_it(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"1": "a", "2": }\n{"3": "c"}\n{"4": "d"\n')
+    for multiline in (False, True):
+        assert rows(lookup.read_lookup(spark, str(tmp_path), multiline=multiline)) == {("3", "c")}
+        errors = lookup.lookup_errors(spark, str(tmp_path), multiline=multiline).collect()
+        assert len(errors) == 2 and all(r.file.endswith("a.json") for r in errors)
+    values = spark.createDataFrame([('{"1": "a", "2": }\n{"3": "c"}',), (None,), ("",)], "value string")
+    assert rows(enrich.lookup_to_rows(values)) == {("3", "c")}
+    assert [r.object for r in enrich.unreadable_objects(values).collect()] == ['{"1": "a", "2": }']
+
+
+def test_large_object_is_many_tasks(spark, tmp_path, conf):
+    """30,000 entries in three objects of one file, one of them broken, cut into many splits."""
+    whole = {str(i): 'n } { "%d"\\' % i for i in range(30_000)}
+    items = list(whole.items())
+    texts = [json.dumps(dict(items[a:a + 10_000]), indent=1) for a in (0, 10_000, 20_000)]
+    texts[1] = texts[1].replace('"15000":', '"15000"')
+    (tmp_path / "names.json").write_text("\n".join(texts))
+    conf("spark.sql.files.maxPartitionBytes", "64k")
+    read = lookup.read_lookup(spark, str(tmp_path), multiline=True)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+    assert rows(read) == set(items[:10_000] + items[20_000:])
+    error = lookup.lookup_errors(spark, str(tmp_path), multiline=True).collect()
+    assert [(r.object_nr, r.text.strip()[:7]) for r in error] == [(2, '"15000"')]

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from dockline import session
 from dockline.operators import enrich, filters, kpi, nearest
 from dockline.operators.parse import transform
 from dockline.plans import catalog, views
@@ -103,3 +104,14 @@ def test_search_walks_a_tree_without_all_pairs(spark):
 def test_row_wise_queries_do_not_shuffle(spark, name):
     text = executed(catalog.QUERIES[name](spark, SF_DIR))
     assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+
+
+def test_scratch_of_other_applications_stays(spark):
+    own = session.scratch_dir(spark, "own")
+    other = own.replace(spark.sparkContext.applicationId, "app-of-another-job")
+    for path in (own, other):
+        spark.range(3).write.parquet(path)
+    session.drop_scratch(spark)
+    assert spark.read.parquet(other).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(own)

@@ -81,6 +81,43 @@ def test_saved_responses(spark, tmp_path):
     assert poll.poll(spark, path=str(tmp_path / "nothing")).count() == 0
 
 
+def test_saved_responses_need_no_python(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('{"total_count":1}\n')
+    plan = poll.messages(poll.poll(spark, path=str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" in plan and "Python" not in plan and "BatchScan" not in plan
+
+
+def test_missing_pages_are_asked_for_again(monkeypatch, tmp_path):
+    """A page is noted when it fails, asked for under its own poll, and given up after three tries."""
+    down = {100}
+
+    def fetch(address, timeout):
+        if int(address) in down:
+            raise OSError("down")
+        return json.dumps({"total_count": 250, "results": []})
+
+    monkeypatch.setattr(poll, "fetch", fetch)
+    reader = poll.PollStreamReader({"url": "{offset}", "state": str(tmp_path / "missing")})
+    start, asked, first = reader.initialOffset(), [], None
+    for _ in range(4):
+        end = json.loads(json.dumps(reader.latestOffset()))
+        first = first or end["polled_at"]
+        for _ in range(2):  # a batch that runs again asks for the same pages of the same polls
+            rows = [row for p in reader.partitions(start, end) for row in reader.read(p)]
+        asked.append([r[0] for r in rows if r[3] == first and r[0] == 100])
+        reader.commit(end)
+        start, end = end, None
+        monkeypatch.setattr(poll.time, "time_ns", lambda now=start["polled_at"]: (now + 10_000) * 1_000_000)
+    assert [len(x) for x in asked] == [1, 1, 1, 0]
+    down.clear()
+    end = reader.latestOffset()
+    assert {p[1] for p in end["retry"]} == {100}
+    rows = [row for p in reader.partitions(start, end) for row in reader.read(p)]
+    assert all(r[2] is None for r in rows) and len(rows) == 3 + len(end["retry"])
+    reader.commit(end)
+    assert reader.latestOffset()["retry"] == []
+
+
 def test_options_are_checked(spark):
     with pytest.raises(Exception, match="either the option url or the option path"):
         poll.poll(spark).count()

@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +140,77 @@ def test_poll_errors_are_kept_by_the_running_job(spark, tmp_path):
     jobs.drain(writer)
     assert len(sent) == 1 and sent[0].key.endswith(":0")
     assert [r.page_offset for r in spark.read.json(str(tmp_path / "errors")).collect()] == [10]
+
+
+def history(spark, polls):
+    """(polled_at, page_offset, page_stations, total, codes) to rows as the sink keeps them."""
+    rows = [(code, "2024-01-01T00:00:00Z", at, page, total, size) for at, page, size, total, codes in polls for code in codes]
+    return spark.createDataFrame(
+        rows, "stationcode string, timestamp string, polled_at long, page_offset long, total_count long, page_stations long")
+
+
+def test_a_code_listed_twice_or_missing_completes_a_poll(spark):
+    rows = history(spark, [(1, 0, 2, 3, ["a", "a"]), (1, 2, 1, 3, ["b"]), (2, 0, 2, 3, [None, "a"]), (2, 2, 1, 3, ["b"]),
+                           (3, 0, 2, 3, ["a", "b"]), (3, 0, 2, 3, ["a", "b"])])
+    assert {(r.polled_at, r.pages, r.stations, r.complete) for r in snapshot.polls(rows).collect()} == {
+        (1, 2, 3, True), (2, 2, 3, True), (3, 1, 2, False)}
+    assert {(r.stationcode, r.polled_at) for r in snapshot.newest_poll(rows).collect()} == {(None, 2), ("a", 2), ("b", 2)}
+    assert {r.stationcode for r in snapshot.newest_poll(rows.where("polled_at = 1")).collect()} == {"a", "b"}
+    assert [(r.polled_at, r.pages) for r in snapshot.incomplete_polls(rows).collect()] == [(3, 1)]
+    assert snapshot.incomplete_polls(rows.where("polled_at = 3")).count() == 1
+
+
+def test_only_the_newest_day_is_read_and_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    days = {"2024-01-01": [(1, 0, 1, 1, ["old"])], "2024-01-02": [(2, 0, 1, 2, ["x"]), (3, 0, 1, 1, ["b"])], "2024-01-03": [(2, 1, 1, 2, ["y"])]}
+    for day, polls in days.items():
+        history(spark, polls).coalesce(1).withColumn("ingest_date", F.lit(day)).write.mode("append").partitionBy("ingest_date").json(path)
+    read = []
+    keep = snapshot.materialize
+    seen = lambda df: re.findall(r"PartitionFilters: .*ingest_date#\d+ = ([0-9-]+)", df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(snapshot, "materialize", lambda df, tag: read.append(seen(df)) or keep(df, tag))
+    assert snapshot.days(spark, path) == sorted(days, reverse=True)
+    # the newest day has no complete poll of its own, so the one before is read too
+    assert [r.stationcode for r in snapshot.read_newest(spark, path).collect()] == ["b"]
+    assert read == [["2024-01-03"], ["2024-01-02"]]
+    history(spark, [(4, 0, 1, 1, ["z"])]).coalesce(1).withColumn("ingest_date", F.lit("2024-01-04")).write.mode("append").partitionBy("ingest_date").json(path)
+    read.clear()
+    assert [r.stationcode for r in snapshot.read_newest(spark, path).collect()] == ["z"]
+    assert read == [["2024-01-04"]]
+    assert snapshot.read_newest(spark, str(tmp_path / "missing")).isEmpty()
+
+
+def test_a_batch_that_runs_again_doubles_nothing(spark, tmp_path):
+    """The job fails after it has sent a poll; it is sent again, and the reader keeps each page once."""
+    for offset in (0, 10):
+        (tmp_path / f"{offset}.json").write_text(json.dumps({"total_count": 20, "results": [{"stationcode": str(offset)}]}))
+    log, rows = str(tmp_path / "log"), str(tmp_path / "rows")
+
+    def job():
+        polled = poll.poll(spark, stream=True, url=str(tmp_path) + "/{offset}.json", limit=10)
+        send = lambda messages: topic.write_log(messages, log, "t")
+        jobs.drain(ingest.split_polled(polled, send, str(tmp_path / "errors"), str(tmp_path / "ck")))
+
+    (tmp_path / "errors").write_text("a file where the folder of errors should be")
+    with pytest.raises(Exception):
+        job()
+    (tmp_path / "errors").rename(tmp_path / "moved")
+    job()
+    sent = topic.read_log(spark, log)
+    assert sent.count() == 4 and sent.select("key").distinct().count() == 2
+    jobs.drain(ingest.messages_to_json(jobs.unique_pages(topic.stream_log(spark, log)), rows, f"{rows}-ck", keep=("polled_at", "page_offset")))
+    kept = spark.read.json(rows)
+    assert kept.count() == 2 and kept.select("polled_at", "page_offset").distinct().count() == 2
+    assert jobs.unique_pages(sent).count() == 2
+
+
+def test_messages_without_a_poll_are_told_apart_by_their_place(spark):
+    log = spark.createDataFrame([(None, "{}", "t", 0, n) for n in (1, 1, 2)], "key binary, value string, topic string, partition int, offset long")
+    assert jobs.unique_pages(log).count() == 2
+    assert jobs.poll_areas(log).isEmpty()
+
+
+def test_indicators_of_an_incomplete_poll(spark, stations):
+    page = single_envelopes(stations.where("stationcode < '4'"), "stationcode").select(F.concat(F.lit("5:"), "stationcode").alias("key"), F.regexp_replace("value", '"total_count":1', '"total_count":8').alias("value"))
+    row = jobs.poll_indicators(jobs.poll_areas(page)).first()
+    assert (row.polled_at, row.nb_stations, row.total_count, row.complete) == (5, 3, 8, False)

@@ -74,3 +74,14 @@ def test_lines_to_topic_to_lines(spark, tmp_path):
     jobs.drain(topic.stream_to_text(topic.stream_log(spark, log, "t"), out, f"{out}-ck"))
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["", "one", "two é"]
     assert topic.read_log(spark, log).where(F.col("topic") == "t").count() == 3
+
+
+def test_gaps(spark):
+    log = spark.createDataFrame(
+        [("t", 0, n) for n in (3, 4, 7, 12, 13, 25)] + [("t", 1, 5), ("u", 0, 0)], "topic string, partition int, offset long")
+    read = spark.createDataFrame([("t", 0, 1), ("t", 1, 5), ("u", 0, 0), ("gone", 0, 3)], "topic string, partition int, next_offset long")
+    for block in (1, 5, 1000):
+        gaps = {tuple(r) for r in topic.topic_gaps(log, block=block).collect()}
+        assert gaps == {("t", 0, 5, 6), ("t", 0, 8, 11), ("t", 0, 14, 24)}
+        assert {tuple(r) for r in topic.topic_gaps(log, read, block).collect()} == gaps | {("t", 0, 1, 2)}
+    assert topic.topic_gaps(log.limit(0), read).isEmpty()
