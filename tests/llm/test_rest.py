@@ -1,9 +1,11 @@
 """Toxicity, decontamination, personal data, licences and the pipeline."""
 
+import math
 import random
 import re
 import textwrap
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,60 @@ def test_grades_of_held_out_texts(spark):
     assert all(abs(r.expected_severity - g) < 1.2 for r, g in held)
 
 
+def ordinal_rows(rnd, n, most):
+    """Random rows as lists of (feature, value), and the same packed."""
+    plain = [[(f, rnd.choice([0.5, 1.0, 2.0])) for f in rnd.sample(range(6), rnd.randint(0, 5))] for _ in range(n)]
+    flat = [x for row in plain for x in row]
+    packed = toxicity.Rows(np.r_[0, np.cumsum([len(r) for r in plain])], np.array([f for f, _ in flat], dtype=np.int32),
+                           np.array([v for _, v in flat], dtype=np.float32))
+    return plain, packed, np.array([rnd.randrange(most) for _ in range(n)])
+
+
+def penalised(plain, grade, w, cut):
+    """Mean log likelihood of the grades less the penalty, row by row."""
+    thresholds, total = [cut[0]], 0.0
+    for c in cut[1:]:
+        thresholds.append(thresholds[-1] + math.exp(c))
+    for row, g in zip(plain, grade):
+        above = [1.0, *(1 / (1 + math.exp(t - sum(w[f] * v for f, v in row))) for t in thresholds), 0.0]
+        total += math.log(above[g] - above[g + 1])
+    return total / len(plain) - toxicity.L2 / 2 * sum(x * x for x in w)
+
+
+@pytest.mark.parametrize("most", [2, 3, 4])
+def test_likelihood_and_slopes_equal_brute_force(monkeypatch, most):
+    monkeypatch.setattr(toxicity, "PART_ENTRIES", 7)
+    rnd = random.Random(most)
+    plain, packed, grade = ordinal_rows(rnd, 40, most)
+    w, cut = np.array([rnd.uniform(-1, 1) for _ in range(6)]), np.array([rnd.uniform(-1, 1) for _ in range(most - 1)])
+    value, d_score, d_cut = toxicity.likelihood(packed.scores(w), cut, grade)
+    assert value - toxicity.L2 / 2 * (w @ w) == pytest.approx(penalised(plain, grade, w, cut))
+    slopes = np.concatenate([packed.back(d_score, 6) / 40 - toxicity.L2 * w, d_cut])
+    both = np.concatenate([w, cut])
+    for i, slope in enumerate(slopes):
+        step = np.zeros(len(both))
+        step[i] = 1e-5
+        up, down = (penalised(plain, grade, *np.split(both + s, [6])) for s in (step, -step))
+        assert slope == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_training_raises_the_likelihood(monkeypatch):
+    plain, packed, _ = ordinal_rows(random.Random(9), 200, 3)
+    grade = np.array([min(2, sum(f == 3 for f, _ in r) + sum(f == 4 for f, _ in r)) for r in plain])
+    weights, thresholds = toxicity.train(packed, grade)
+    cut = np.r_[thresholds[:1], np.log(np.diff(thresholds))]
+    assert penalised(plain, grade, weights[:6], cut) > penalised(plain, grade, np.zeros(6), np.zeros(2)) / 4
+
+
+def test_repeated_ids_do_not_change_the_model(spark):
+    rows = toxic_rows(random.Random(6), 90)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, g) for i, _, g in rows], "doc_id long, toxic int")
+    once = toxicity.fit(docs, labels)
+    again = toxicity.fit(docs.unionByName(docs).repartition(5), labels.unionByName(labels.withColumn("toxic", F.col("toxic") + 1)))
+    assert np.array_equal(once.weights, again.weights) and once.limit == again.limit
+
+
 def test_toxicity_without_labels_or_text(spark):
     docs = spark.createDataFrame([(1, None, 2), (2, "", 3)], "doc_id long, text string, grade int")
     none = spark.createDataFrame([], "doc_id long, toxic int")
