@@ -7,14 +7,19 @@ context include those of all longer ones, what is excluded at every order is
 known from the table alone, so each (context, byte) has one code length.
 
 Neither the trie nor the vocabulary is sent to all tasks. Texts are packed
-into blocks; a block lists the entries it needs, these are joined with their
-code lengths or counts, and meet the block again. Memory is bounded by the
-block.
+into blocks; a block lists the entries it needs, cut into buckets by the last
+three bytes of the context, as one packed row for each bucket. A bucket adds
+up what all blocks send, which is all there is on these contexts from order 3
+on, and answers each block with the code lengths in the same order, not
+repeating the entries. Shorter contexts have 2^24 entries at most, whatever
+the corpus, and are broadcast. Words go the same way. Memory is bounded by the
+block and by the number of buckets, which grows with the corpus.
 """
 
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,10 +32,15 @@ from dockline.session import materialize
 ORDER = 6
 BLOCK_BYTES = 16 << 20
 
+# Buckets that the contexts of a small corpus are cut into.
+LEAST_BUCKETS = 16
+
 END = b"\n"
 _PACK_SCHEMA = "pid bigint, ids array<bigint>, held array<boolean>, sizes array<int>, data binary"
-_NEED_SCHEMA = "pid bigint, word binary, gram bigint, n bigint"
+_ASK_SCHEMA = "pid bigint, bucket int, keys binary, counts binary"
+_ANSWER_SCHEMA = "pid bigint, bucket int, data binary"
 SCORE_SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+_SCORE_NAMES = [x.split()[0] for x in SCORE_SCHEMA.split(", ")]
 
 
 def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -103,72 +113,212 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     return key[at], doc
 
 
-def needs(packs: DataFrame, order: int = ORDER) -> DataFrame:
-    """The distinct tokens and grams of each block, with their number in its training texts."""
+def _squeeze(values: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes before all second ones, compressed."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def _expand(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """A hash of small numbers."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def gram_buckets(kinds: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """Sorted distinct grams, dealt out by the last three bytes of their context."""
+    kinds = np.sort(kinds)
+    own = (_mixed((kinds >> 8) & 0xFFFFFF) % np.uint64(buckets)).astype(np.int64)
+    by = np.argsort(own, kind="stable")
+    return np.split(kinds[by], np.cumsum(np.bincount(own, minlength=buckets))[:-1])
+
+
+def word_buckets(words: list[bytes], buckets: int) -> list[list[bytes]]:
+    """Distinct words, dealt out by their checksum, in a fixed order."""
+    out: list[list[bytes]] = [[] for _ in range(buckets)]
+    for word in sorted(words):
+        out[zlib.crc32(word) % buckets].append(word)
+    return out
+
+
+def block_grams(texts: list[bytes], learn: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of a block, sorted, and their number in its training texts."""
+    import pandas as pd
+
+    tables = []
+    for low, high in common.blocks(texts):
+        key, own = grams(texts[low:high], order)
+        place, kinds = pd.factorize(key)
+        tables.append((kinds, np.bincount(place, weights=learn[low:high][own], minlength=len(kinds))))
+    kinds, place = np.unique(np.concatenate([k for k, _ in tables]), return_inverse=True)
+    return kinds, np.bincount(place, weights=np.concatenate([n for _, n in tables]), minlength=len(kinds)).astype(np.int64)
+
+
+def ask_grams(packs: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
+    """Per block and bucket the distinct grams, as differences, with their number in training texts."""
+
+    def run(batches):
+        for row in _rows(batches):
+            texts, learn = _unpack(row["data"], row["sizes"]), ~np.asarray(row["held"], dtype=bool)
+            kinds, total = block_grams(texts, learn, order)
+            parts = gram_buckets(kinds, buckets)
+            full = [b for b in range(buckets) if len(parts[b])]
+            yield _batch(
+                [row["pid"]] * len(full), full, [_squeeze(np.diff(parts[b], prepend=0)) for b in full],
+                [_squeeze(total[np.searchsorted(kinds, parts[b])]) for b in full])
+
+    return packs.mapInArrow(run, _ASK_SCHEMA)
+
+
+def ask_words(packs: DataFrame, buckets: int) -> DataFrame:
+    """Per block and bucket the distinct words, one a line, with their number in training texts."""
+
+    def run(batches):
+        for row in _rows(batches):
+            texts, learn = _unpack(row["data"], row["sizes"]), ~np.asarray(row["held"], dtype=bool)
+            doc, code, distinct = common.word_codes(texts)
+            count = dict(zip(distinct, np.bincount(code, weights=learn[doc], minlength=len(distinct)).astype(np.int64)))
+            parts = word_buckets(list(distinct), buckets)
+            full = [b for b in range(buckets) if parts[b]]
+            yield _batch(
+                [row["pid"]] * len(full), full, [zlib.compress(b"\n".join(parts[b]), 1) for b in full],
+                [_squeeze(np.array([count[w] for w in parts[b]])) for b in full])
+
+    return packs.mapInArrow(run, _ASK_SCHEMA)
+
+
+def _rows(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _batch(pid, bucket, *data):
+    import pyarrow as pa
+
+    names = ["pid", "bucket", "keys", "counts"] if len(data) == 2 else ["pid", "bucket", "data"]
+    columns = [pa.array(pid, pa.int64()), pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in data)]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def word_counts(table):
+    """The training counts of a bucket's words for each block that asked, and the bucket's sum and number of kinds as block -1."""
+    import pandas as pd
+    import pyarrow as pa
+
+    lists = [zlib.decompress(x.as_py()).split(b"\n") for x in table.column("keys")]
+    sizes = [len(x) for x in lists]
+    flat = np.empty(sum(sizes), dtype=object)
+    flat[:] = [w for x in lists for w in x]
+    place, kinds = pd.factorize(flat)
+    own = np.concatenate([_expand(x.as_py(), np.int64) for x in table.column("counts")])
+    total = np.bincount(place, weights=own, minlength=len(kinds)).astype(np.int64)
+    answers = [_squeeze(x) for x in np.split(total[place], np.cumsum(sizes)[:-1])]
+    answers.append(_squeeze(np.array([total.sum(), np.count_nonzero(total)], dtype=np.int64)))
+    bucket = table.column("bucket")[0].as_py()
+    pids = [*table.column("pid").to_pylist(), -1]
+    return pa.Table.from_batches([_batch(pids, [bucket] * len(pids), answers)])
+
+
+def gram_lengths(table, order: int, short: Short):
+    """The code lengths of a bucket's grams for each block that asked."""
+    import pyarrow as pa
+
+    asked = [np.cumsum(_expand(x.as_py(), np.int64)) for x in table.column("keys")]
+    own = np.concatenate([_expand(x.as_py(), np.int64) for x in table.column("counts")])
+    kinds, place = np.unique(np.concatenate(asked), return_inverse=True)
+    length = code_lengths(kinds, np.bincount(place, weights=own, minlength=len(kinds)), short, order).astype(np.float32)
+    answers = [_squeeze(x) for x in np.split(length[place], np.cumsum([len(x) for x in asked])[:-1])]
+    bucket = table.column("bucket")[0].as_py()
+    return pa.Table.from_batches([_batch(table.column("pid").to_pylist(), [bucket] * len(answers), answers)])
+
+
+@dataclass
+class Short:
+    """Training counts of all next bytes after contexts of two bytes at most."""
+
+    keys: np.ndarray  # two bytes and the next one, sorted
+    counts: np.ndarray
+
+    def __post_init__(self):
+        # by order: the counts of (context, byte), and per context their sum and number
+        self.seen, self.sums, self.kinds = [], [], []
+        for order in range(3):
+            key = self.keys & ((1 << (8 * (order + 1))) - 1)
+            if order < 2:
+                seen = np.bincount(key, weights=self.counts, minlength=1 << (8 * (order + 1)))
+                self.seen.append(seen)
+                self.sums.append(seen.reshape(-1, 256).sum(1))
+                self.kinds.append((seen > 0).reshape(-1, 256).sum(1))
+            else:
+                self.sums.append(np.bincount(key >> 8, weights=self.counts, minlength=1 << 16))
+                self.kinds.append(np.bincount(key >> 8, minlength=1 << 16))
+        # what the bytes seen after a context have together after the next shorter one
+        one = np.bincount(self.keys >> 8, weights=self.seen[1][self.keys & 0xFFFF], minlength=1 << 16)
+        zero = ((self.seen[1] > 0).reshape(-1, 256) * self.seen[0]).sum(1)
+        self.shadow = [np.zeros(1), zero, one]
+
+    def count(self, order: int, key: np.ndarray) -> np.ndarray:
+        """Counts of (context of this order, byte)."""
+        if order < 2:
+            return self.seen[order][key]
+        if not len(self.keys):
+            return np.zeros(len(key))
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.counts[at], 0).astype(np.float64)
+
+
+def short_counts(packs: DataFrame) -> Short:
+    """Counts of three bytes in a row in the training texts: 2^24 numbers at most."""
 
     def run(batches):
-        import pandas as pd
         import pyarrow as pa
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                texts = _unpack(row["data"], row["sizes"])
-                learn = ~np.asarray(row["held"], dtype=bool)
-                doc, code, distinct = _tokens(texts)
-                count = np.bincount(code, weights=learn[doc], minlength=len(distinct)).astype(np.int64)
-                used = np.bincount(code, minlength=len(distinct)) > 0
-                tables = []
-                for low, high in common.blocks(texts):
-                    key, own = grams(texts[low:high], order)
-                    place, kinds = pd.factorize(key)
-                    tables.append((kinds, np.bincount(place, weights=learn[low:high][own], minlength=len(kinds))))
-                place, kinds = pd.factorize(np.concatenate([k for k, _ in tables]))
-                total = np.bincount(place, weights=np.concatenate([n for _, n in tables])).astype(np.int64)
-                words = list(distinct[used])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(words) + len(kinds), row["pid"])),
-                    pa.array(words + [None] * len(kinds), pa.binary()),
-                    pa.array(np.r_[np.zeros(len(words), np.int64), kinds], mask=np.arange(len(words) + len(kinds)) < len(words)),
-                    pa.array(np.r_[count[used], total]),
-                ], ["pid", "word", "gram", "n"])
-
-    return packs.mapInArrow(run, _NEED_SCHEMA)
-
-
-def code_lengths(suffix: tuple[int, int], gram: np.ndarray, n: np.ndarray, one: np.ndarray, zero: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """log10 probabilities of all grams whose context ends with `suffix`.
-
-    `n` are the counts of the grams, 0 for those of held-out texts only; `one`
-    and `zero` the counts of every next byte after the suffix's last byte, and
-    anywhere. Escapes are estimated by method D: each distinct byte gives half
-    a count to the escape.
+        for row in _rows(batches):
+            texts, learn = _unpack(row["data"], row["sizes"]), ~np.asarray(row["held"], dtype=bool)
+            total = np.zeros(1 << 24, dtype=np.int64)
+            texts = [t for t, use in zip(texts, learn) if use]
+            for low, high in common.blocks(texts):
+                total += np.bincount(grams(texts[low:high], 2)[0], minlength=1 << 24)
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["gram", "n"])
+
+    found = packs.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toPandas().sort_values("gram")
+    return Short(found["gram"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64))
+
+
+def code_lengths(gram: np.ndarray, n: np.ndarray, short: Short, order: int = ORDER) -> np.ndarray:
+    """log10 probabilities of grams; with a gram, all of the same last three context bytes are given.
+
+    `gram` is sorted and distinct, `n` are their counts, 0 for those of
+    held-out texts only. Escapes are estimated by method D: each distinct byte
+    gives half a count to the escape.
     """
     symbol = gram & 0xFF
     out = np.zeros(len(gram))
     open_ = np.ones(len(gram), dtype=bool)  # not yet predicted
-    excluded = None  # per gram: which context's bytes are excluded, as (sum of counts at the next order, distinct)
+    gone, gone_kinds = np.zeros(len(gram)), np.zeros(len(gram))  # bytes excluded: their sum at this order, and how many
+    tables = {k: _context_table(gram, n, k) for k in range(order, 2, -1)}
     for k in range(order, -1, -1):
-        if k >= 2:
-            context = (gram >> 8) & ((1 << (8 * k)) - 1)
-            keys, place = np.unique((context << 8) | symbol, return_inverse=True)
-            # a gram is listed once, and its shorter forms add up
-            count = np.bincount(place, weights=n)
-            contexts, own = np.unique(keys >> 8, return_inverse=True)
-            total, kinds = np.bincount(own, weights=count), np.bincount(own, weights=count > 0)
+        if k > 2:
+            keys, place, count, own, total, kinds = tables[k]
             seen, sums, distinct = count[place], total[own[place]], kinds[own[place]]
-            if k > 2:
-                shorter = (keys >> 8) & ((1 << (8 * (k - 1))) - 1)
-                low_keys, low_place = np.unique((shorter << 8) | (keys & 0xFF), return_inverse=True)
-                below = np.bincount(low_place, weights=count)[low_place]
+            if k > 3:
+                low_keys, _, low_count, *_ = tables[k - 1]
+                below = low_count[np.searchsorted(low_keys, keys & ((1 << (8 * k)) - 1))]
             else:
-                below = one[keys & 0xFF]
+                below = short.count(2, keys & 0xFFFFFF)
             shadow = np.bincount(own, weights=np.where(count > 0, below, 0))[own[place]]
         else:
-            table = one if k == 1 else zero
-            seen = table[symbol]
-            sums, distinct = np.full(len(gram), table.sum()), np.full(len(gram), np.count_nonzero(table))
-            shadow = np.full(len(gram), zero[table > 0].sum() if k == 1 else 0.0)
-        gone, gone_kinds = excluded if excluded is not None else (np.zeros(len(gram)), np.zeros(len(gram)))
+            context = (gram >> 8) & ((1 << (8 * k)) - 1)
+            seen = short.count(k, (context << 8) | symbol)
+            sums, distinct, shadow = short.sums[k][context], short.kinds[k][context].astype(np.float64), short.shadow[k][context]
         left, left_kinds = sums - gone, distinct - gone_kinds
         known = open_ & (left_kinds > 0)
         whole = np.maximum(2 * left, 1e-300)
@@ -179,12 +329,20 @@ def code_lengths(suffix: tuple[int, int], gram: np.ndarray, n: np.ndarray, one:
         open_ &= ~hit
         # having passed a seen context, its bytes are excluded below; an unseen one excludes nothing
         visited = distinct > 0
-        excluded = (np.where(visited, shadow, 0.0), np.where(visited, distinct, 0.0))
-    rest = max(256 - np.count_nonzero(zero), 1)
+        gone, gone_kinds = np.where(visited, shadow, 0.0), np.where(visited, distinct, 0.0)
+    rest = max(256 - np.count_nonzero(short.seen[0]), 1)
     out[open_] -= np.log10(rest)
     return out
 
 
+def _context_table(gram: np.ndarray, n: np.ndarray, k: int):
+    """Distinct (context of k bytes, byte), each gram's place among them, counts, and per context sums and kinds."""
+    keys, place = np.unique(gram & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
+    count = np.bincount(place, weights=n)
+    own = np.cumsum(np.diff(keys >> 8, prepend=keys[:1] >> 8) != 0)
+    return keys, place, count, own, np.bincount(own, weights=count), np.bincount(own, weights=count > 0)
+
+
 def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -199,62 +357,52 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
         docs[text].cast("string").alias("text"),
     )
     packs = materialize(pack(base, block_bytes), "packs")
-    wanted = materialize(needs(packs, order), "needs")
-    words = wanted.where("word is not null")
-    counts = words.groupBy("word").agg(F.sum("n").alias("c"))
-    counts = materialize(counts, "counts")
-    n, v = counts.where("c > 0").agg(F.sum("c"), F.count(F.lit(1))).first()
-    n, v = n or 0, v or 0
-    word_rows = words.select("pid", "word").join(counts, "word").select(
-        "pid", "word", F.lit(0).cast("bigint").alias("gram"), F.col("c").cast("double").alias("x"))
-
-    trie = materialize(
-        wanted.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-        .withColumn("suffix", F.expr("cast(shiftright(gram, 8) & 65535 as int)")), "trie")
-    # the shortest contexts have 65,536 entries at most
-    pairs = trie.where("n > 0").groupBy(F.expr("cast(gram & 65535 as int)").alias("pair")).agg(F.sum("n").alias("n")).collect()
-    one = np.zeros((256, 256))
-    for r in pairs:
-        one[r.pair >> 8, r.pair & 0xFF] = r.n
-    shared = docs.sparkSession.sparkContext.broadcast(one)
-
-    def lengths(key, group):
-        import pandas as pd
-
-        suffix = (key[0] >> 8, key[0] & 0xFF)
-        table = shared.value
-        gram = group["gram"].to_numpy()
-        return pd.DataFrame({"gram": gram, "x": code_lengths(suffix, gram, group["n"].to_numpy(), table[suffix[1]], table.sum(0), order)})
-
-    priced = trie.groupBy("suffix").applyInPandas(lengths, "gram bigint, x double")
-    gram_rows = wanted.where("gram is not null").select("pid", "gram").join(priced, "gram").select(
-        "pid", F.lit(None).cast("binary").alias("word"), "gram", "x")
-
-    def finish(key, blocks_, table):
-        import pandas as pd
+    size, texts = packs.agg(
+        F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x)),
+        F.sum(F.aggregate(F.zip_with("ids", "held", lambda i, h: h), F.lit(0).cast("bigint"), lambda a, h: a + (~h).cast("bigint"))),
+    ).first()
+    # fewer than blocks, as entries repeat; so neither buckets nor packed rows become many and small
+    buckets = LEAST_BUCKETS + int(((size or 0) / block_bytes) ** 0.75)
+    short = docs.sparkSession.sparkContext.broadcast(short_counts(packs))
+    counted = ask_words(packs, buckets).groupBy("bucket").applyInArrow(word_counts, _ANSWER_SCHEMA)
+    counted = materialize(counted, "words")
+    ends = texts or 0
+    n, v = ends, int(ends > 0)
+    for row in counted.where("pid = -1").select("data").toLocalIterator():
+        own_n, own_v = _expand(row.data, np.int64)
+        n, v = n + int(own_n), v + int(own_v)
+    priced = ask_grams(packs, buckets, order).groupBy("bucket").applyInArrow(
+        lambda table: gram_lengths(table, order, short.value), _ANSWER_SCHEMA)
+    answers = counted.where("pid >= 0").withColumn("bucket", -1 - F.col("bucket")).unionByName(priced)
+
+    def finish(key, left, right):
+        import pyarrow as pa
 
-        known = table["word"].notna().to_numpy()
-        count = dict(zip((bytes(w) for w in table["word"][known]), table["x"][known], strict=True))
-        price = table[~known].sort_values("gram")
-        gram, length = price["gram"].to_numpy(dtype=np.int64), price["x"].to_numpy()
+        answer = dict(zip(right.column("bucket").to_pylist(), right.column("data"), strict=True))
         out = []
-        for row in blocks_.itertuples():
-            texts = _unpack(row.data, row.sizes)
+        for row in _rows(left.to_batches()):
+            texts = _unpack(row["data"], row["sizes"])
             m = len(texts)
             doc, code, distinct = _tokens(texts)
-            c = np.fromiter((count.get(w, 0.0) for w in distinct), dtype=np.float64, count=len(distinct))
+            words = word_buckets(list(distinct[:-1]), buckets)
+            count = {w: c for b in range(buckets) if words[b] for w, c in zip(words[b], _expand(answer[-1 - b].as_py(), np.int64).tolist(), strict=True)}
+            c = np.array([*(count[w] for w in distinct[:-1]), ends], dtype=np.float64)
             base_score = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+            kinds, _ = block_grams(texts, np.zeros(m, dtype=bool), order)
+            length = np.zeros(len(kinds))
+            for b, part in enumerate(gram_buckets(kinds, buckets)):
+                if len(part):
+                    length[np.searchsorted(kinds, part)] = _expand(answer[b].as_py(), np.float32)
             total = np.zeros(m)
             for low, high in common.blocks(texts):
                 key_, own = grams(texts[low:high], order)
-                place, kinds = pd.factorize(key_)
-                total[low:high] = np.bincount(own, weights=length[np.searchsorted(gram, kinds)][place], minlength=high - low)
-            out.append(pd.DataFrame({
-                "doc_id": pd.array(row.ids, dtype="Int64"), "held_out": row.held,
-                "n_tokens": np.bincount(doc, minlength=m), "n_known": np.bincount(doc, weights=c[code] > 0, minlength=m).astype(np.int64),
-                "base_score": np.bincount(doc, weights=base_score[code], minlength=m), "score": total,
-            }))
-        return pd.concat(out) if out else pd.DataFrame(columns=[x.split()[0] for x in SCORE_SCHEMA.split(", ")])
-
-    scored = packs.groupBy("pid").cogroup(word_rows.unionByName(gram_rows).groupBy("pid")).applyInPandas(finish, SCORE_SCHEMA)
+                total[low:high] = np.bincount(own, weights=length[np.searchsorted(kinds, key_)], minlength=high - low)
+            out.append(pa.table([
+                pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), np.bincount(doc, minlength=m).astype(np.int64),
+                np.bincount(doc, weights=c[code] > 0, minlength=m).astype(np.int64),
+                np.bincount(doc, weights=base_score[code], minlength=m), total,
+            ], names=_SCORE_NAMES))
+        return pa.concat_tables(out)
+
+    scored = packs.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(finish, SCORE_SCHEMA)
     return scored.withColumn("train_tokens", F.lit(int(n)).cast("bigint"))
