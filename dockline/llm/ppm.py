@@ -19,6 +19,7 @@ block and by the number of buckets, which grows with the corpus.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ from dockline.session import materialize
 # Longest context in bytes, and bytes of text of one block.
 ORDER = 6
 BLOCK_BYTES = 16 << 20
+# Bytes of a block that are looked at in one step.
+PORTION_BYTES = 1 << 20
 
 # Buckets that the contexts of a small corpus are cut into.
 LEAST_BUCKETS = 16
@@ -102,15 +105,16 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
 
     Before a text stand line breaks.
     """
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
     data = np.frombuffer((END * order) + (END * order).join(texts), dtype=np.uint8)
     key = np.zeros(len(data) - order, dtype=np.int64)
     for k in range(order + 1):
-        key = (key << 8) | data[k : len(data) - order + k]
-    starts = np.cumsum(sizes + order) - (sizes + order)
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    at = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
-    return key[at], doc
+        np.left_shift(key, 8, out=key)
+        np.bitwise_or(key, data[k : len(data) - order + k], out=key)
+    # between two texts stand the line breaks before the second
+    parts = np.full(2 * len(texts) - 1, order, dtype=np.int64)
+    parts[::2] = [len(t) for t in texts]
+    inside = np.repeat(np.arange(len(parts)) % 2 == 0, parts)
+    return key[inside], np.repeat(np.arange(len(texts), dtype=np.int32), parts[::2])
 
 
 def _squeeze(values: np.ndarray) -> bytes:
@@ -147,17 +151,24 @@ def word_buckets(words: list[bytes], buckets: int) -> list[list[bytes]]:
     return out
 
 
-def block_grams(texts: list[bytes], learn: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct grams of a block, sorted, and their number in its training texts."""
+def _portions(texts: list[bytes], order: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per portion of the texts its range, its distinct grams, each byte's place among them, and each byte's text."""
     import pandas as pd
 
-    tables = []
-    for low, high in common.blocks(texts):
+    for low, high in common.blocks(texts, PORTION_BYTES):
         key, own = grams(texts[low:high], order)
         place, kinds = pd.factorize(key)
-        tables.append((kinds, np.bincount(place, weights=learn[low:high][own], minlength=len(kinds))))
+        yield low, high, kinds, place.astype(np.int32), own
+
+
+def block_grams(texts: list[bytes], learn: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of a block, sorted, and their number in its training texts."""
+    tables = [
+        (kinds, np.bincount(place, weights=learn[low:high][own], minlength=len(kinds)))
+        for low, high, kinds, place, own in _portions(texts, order)
+    ]
     kinds, place = np.unique(np.concatenate([k for k, _ in tables]), return_inverse=True)
-    return kinds, np.bincount(place, weights=np.concatenate([n for _, n in tables]), minlength=len(kinds)).astype(np.int64)
+    return kinds, np.bincount(place, weights=np.concatenate([n for _, n in tables]), minlength=len(kinds)).astype(np.int32)
 
 
 def ask_grams(packs: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
@@ -231,7 +242,7 @@ def gram_lengths(table, order: int, short: Short):
     import pyarrow as pa
 
     asked = [np.cumsum(_expand(x.as_py(), np.int64)) for x in table.column("keys")]
-    own = np.concatenate([_expand(x.as_py(), np.int64) for x in table.column("counts")])
+    own = np.concatenate([_expand(x.as_py(), np.int32) for x in table.column("counts")])
     kinds, place = np.unique(np.concatenate(asked), return_inverse=True)
     length = code_lengths(kinds, np.bincount(place, weights=own, minlength=len(kinds)), short, order).astype(np.float32)
     answers = [_squeeze(x) for x in np.split(length[place], np.cumsum([len(x) for x in asked])[:-1])]
@@ -282,12 +293,12 @@ def short_counts(packs: DataFrame) -> Short:
 
         for row in _rows(batches):
             texts, learn = _unpack(row["data"], row["sizes"]), ~np.asarray(row["held"], dtype=bool)
-            total = np.zeros(1 << 24, dtype=np.int64)
+            total = np.zeros(1 << 24, dtype=np.int32)
             texts = [t for t, use in zip(texts, learn) if use]
             for low, high in common.blocks(texts):
-                total += np.bincount(grams(texts[low:high], 2)[0], minlength=1 << 24)
+                total += np.bincount(grams(texts[low:high], 2)[0], minlength=1 << 24).astype(np.int32)
             found = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found].astype(np.int64))], ["gram", "n"])
 
     found = packs.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toPandas().sort_values("gram")
     return Short(found["gram"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64))
@@ -388,15 +399,17 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
             count = {w: c for b in range(buckets) if words[b] for w, c in zip(words[b], _expand(answer[-1 - b].as_py(), np.int64).tolist(), strict=True)}
             c = np.array([*(count[w] for w in distinct[:-1]), ends], dtype=np.float64)
             base_score = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-            kinds, _ = block_grams(texts, np.zeros(m, dtype=bool), order)
+            portions = [(low, high, found, place) for low, high, found, place, _ in _portions(texts, order)]
+            kinds = np.unique(np.concatenate([found for _, _, found, _ in portions]))
             length = np.zeros(len(kinds))
             for b, part in enumerate(gram_buckets(kinds, buckets)):
                 if len(part):
                     length[np.searchsorted(kinds, part)] = _expand(answer[b].as_py(), np.float32)
             total = np.zeros(m)
-            for low, high in common.blocks(texts):
-                key_, own = grams(texts[low:high], order)
-                total[low:high] = np.bincount(own, weights=length[np.searchsorted(kinds, key_)], minlength=high - low)
+            for low, high, found, place in portions:
+                # every text has its end at least, so none is without bytes
+                ends_ = np.cumsum([0, *map(len, texts[low:high])])
+                total[low:high] = np.add.reduceat(length[np.searchsorted(kinds, found)][place], ends_[:-1])
             out.append(pa.table([
                 pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), np.bincount(doc, minlength=m).astype(np.int64),
                 np.bincount(doc, weights=c[code] > 0, minlength=m).astype(np.int64),
