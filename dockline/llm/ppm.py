@@ -19,6 +19,7 @@ block and by the number of buckets, which grows with the corpus.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from dockline.session import materialize
 
 # Longest context in bytes, and bytes of text of one block.
 ORDER = 6
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Bytes of a block that are looked at in one step.
 PORTION_BYTES = 1 << 20
 
@@ -91,15 +92,6 @@ def _unpack(data: bytes, sizes) -> list[bytes]:
     return [plain[e - s : e] for s, e in zip(sizes, ends, strict=True)]
 
 
-def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words and one end per text, as (text number, code), and the distinct tokens."""
-    doc, code, distinct = common.word_codes(texts)
-    own = np.empty(len(distinct) + 1, dtype=object)
-    own[:-1], own[-1] = distinct, END
-    n = len(texts)
-    return np.concatenate([doc, np.arange(n)]), np.concatenate([code, np.full(n, len(distinct))]), own
-
-
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """For every byte the number of (its `order` bytes before, the byte), and its text's number.
 
@@ -192,14 +184,14 @@ def ask_words(packs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         for row in _rows(batches):
-            texts, learn = _unpack(row["data"], row["sizes"]), ~np.asarray(row["held"], dtype=bool)
-            doc, code, distinct = common.word_codes(texts)
-            count = dict(zip(distinct, np.bincount(code, weights=learn[doc], minlength=len(distinct)).astype(np.int64)))
-            parts = word_buckets(list(distinct), buckets)
+            count, other = Counter(), set()
+            for text, held in zip(_unpack(row["data"], row["sizes"]), row["held"], strict=True):
+                (other if held else count).update(text.split())
+            parts = word_buckets(list(count.keys() | other), buckets)
             full = [b for b in range(buckets) if parts[b]]
             yield _batch(
                 [row["pid"]] * len(full), full, [zlib.compress(b"\n".join(parts[b]), 1) for b in full],
-                [_squeeze(np.array([count[w] for w in parts[b]])) for b in full])
+                [_squeeze(np.array([count[w] for w in parts[b]], dtype=np.int64)) for b in full])
 
     return packs.mapInArrow(run, _ASK_SCHEMA)
 
@@ -293,12 +285,9 @@ def short_counts(packs: DataFrame) -> Short:
 
         for row in _rows(batches):
             texts, learn = _unpack(row["data"], row["sizes"]), ~np.asarray(row["held"], dtype=bool)
-            total = np.zeros(1 << 24, dtype=np.int32)
-            texts = [t for t, use in zip(texts, learn) if use]
-            for low, high in common.blocks(texts):
-                total += np.bincount(grams(texts[low:high], 2)[0], minlength=1 << 24).astype(np.int32)
-            found = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found].astype(np.int64))], ["gram", "n"])
+            kinds, total = block_grams(texts, learn, 2)
+            kinds, total = kinds[total > 0], total[total > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), pa.array(total, pa.int64())], ["gram", "n"])
 
     found = packs.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toPandas().sort_values("gram")
     return Short(found["gram"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64))
@@ -394,26 +383,30 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
         for row in _rows(left.to_batches()):
             texts = _unpack(row["data"], row["sizes"])
             m = len(texts)
-            doc, code, distinct = _tokens(texts)
-            words = word_buckets(list(distinct[:-1]), buckets)
-            count = {w: c for b in range(buckets) if words[b] for w, c in zip(words[b], _expand(answer[-1 - b].as_py(), np.int64).tolist(), strict=True)}
-            c = np.array([*(count[w] for w in distinct[:-1]), ends], dtype=np.float64)
-            base_score = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+            words = word_buckets(list(set().union(*(t.split() for t in texts))), buckets)
+            known = [_expand(answer[-1 - b].as_py(), np.int64) for b in range(buckets) if words[b]]
+            place = {w: i for i, w in enumerate(w for part in words for w in part)}
+            c = np.concatenate([*known, [ends]]).astype(np.float64)  # the last stands for the end of a text
+            price = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+            n_tokens, n_known, base_score = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m)
+            for i, text in enumerate(texts):
+                own = [*map(place.__getitem__, text.split()), len(c) - 1]
+                n_tokens[i], n_known[i], base_score[i] = len(own), np.count_nonzero(c[own]), price[own].sum()
+            del place, words
             portions = [(low, high, found, place) for low, high, found, place, _ in _portions(texts, order)]
-            kinds = np.unique(np.concatenate([found for _, _, found, _ in portions]))
+            kinds, at = np.unique(np.concatenate([found for _, _, found, _ in portions]), return_inverse=True)
             length = np.zeros(len(kinds))
             for b, part in enumerate(gram_buckets(kinds, buckets)):
                 if len(part):
                     length[np.searchsorted(kinds, part)] = _expand(answer[b].as_py(), np.float32)
-            total = np.zeros(m)
+            length, total, used = length[at], np.zeros(m), 0
             for low, high, found, place in portions:
                 # every text has its end at least, so none is without bytes
-                ends_ = np.cumsum([0, *map(len, texts[low:high])])
-                total[low:high] = np.add.reduceat(length[np.searchsorted(kinds, found)][place], ends_[:-1])
+                starts = np.cumsum([0, *map(len, texts[low : high - 1])])
+                total[low:high] = np.add.reduceat(length[used : used + len(found)][place], starts)
+                used += len(found)
             out.append(pa.table([
-                pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), np.bincount(doc, minlength=m).astype(np.int64),
-                np.bincount(doc, weights=c[code] > 0, minlength=m).astype(np.int64),
-                np.bincount(doc, weights=base_score[code], minlength=m), total,
+                pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), n_tokens, n_known, base_score, total,
             ], names=_SCORE_NAMES))
         return pa.concat_tables(out)
 
