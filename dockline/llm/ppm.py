@@ -137,10 +137,12 @@ def gram_buckets(kinds: np.ndarray, buckets: int) -> list[np.ndarray]:
 
 def word_buckets(words: list[bytes], buckets: int) -> list[list[bytes]]:
     """Distinct words, dealt out by their checksum, in a fixed order."""
-    out: list[list[bytes]] = [[] for _ in range(buckets)]
-    for word in sorted(words):
-        out[zlib.crc32(word) % buckets].append(word)
-    return out
+    words = sorted(words)
+    flat = np.empty(len(words), dtype=object)
+    flat[:] = words
+    own = (np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets).astype(np.int64)
+    parts = np.split(flat[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=buckets))[:-1])
+    return [part.tolist() for part in parts]
 
 
 def _portions(texts: list[bytes], order: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -231,12 +233,15 @@ def word_counts(table):
 
 def gram_lengths(table, order: int, short: Short):
     """The code lengths of a bucket's grams for each block that asked."""
+    import pandas as pd
     import pyarrow as pa
 
     asked = [np.cumsum(_expand(x.as_py(), np.int64)) for x in table.column("keys")]
     own = np.concatenate([_expand(x.as_py(), np.int32) for x in table.column("counts")])
-    kinds, place = np.unique(np.concatenate(asked), return_inverse=True)
-    length = code_lengths(kinds, np.bincount(place, weights=own, minlength=len(kinds)), short, order).astype(np.float32)
+    place, found = pd.factorize(np.concatenate(asked))
+    by = np.argsort(found)
+    length = np.empty(len(found), dtype=np.float32)
+    length[by] = code_lengths(found[by], np.bincount(place, weights=own, minlength=len(found))[by], short, order)
     answers = [_squeeze(x) for x in np.split(length[place], np.cumsum([len(x) for x in asked])[:-1])]
     bucket = table.column("bucket")[0].as_py()
     return pa.Table.from_batches([_batch(table.column("pid").to_pylist(), [bucket] * len(answers), answers)])
@@ -304,16 +309,12 @@ def code_lengths(gram: np.ndarray, n: np.ndarray, short: Short, order: int = ORD
     out = np.zeros(len(gram))
     open_ = np.ones(len(gram), dtype=bool)  # not yet predicted
     gone, gone_kinds = np.zeros(len(gram)), np.zeros(len(gram))  # bytes excluded: their sum at this order, and how many
-    tables = {k: _context_table(gram, n, k) for k in range(order, 2, -1)}
+    tables = _context_tables(gram, n, order)
     for k in range(order, -1, -1):
         if k > 2:
             keys, place, count, own, total, kinds = tables[k]
             seen, sums, distinct = count[place], total[own[place]], kinds[own[place]]
-            if k > 3:
-                low_keys, _, low_count, *_ = tables[k - 1]
-                below = low_count[np.searchsorted(low_keys, keys & ((1 << (8 * k)) - 1))]
-            else:
-                below = short.count(2, keys & 0xFFFFFF)
+            below = tables[k - 1][2][tables[k - 1][6]] if k > 3 else short.count(2, keys & 0xFFFFFF)
             shadow = np.bincount(own, weights=np.where(count > 0, below, 0))[own[place]]
         else:
             context = (gram >> 8) & ((1 << (8 * k)) - 1)
@@ -335,12 +336,18 @@ def code_lengths(gram: np.ndarray, n: np.ndarray, short: Short, order: int = ORD
     return out
 
 
-def _context_table(gram: np.ndarray, n: np.ndarray, k: int):
-    """Distinct (context of k bytes, byte), each gram's place among them, counts, and per context sums and kinds."""
-    keys, place = np.unique(gram & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
-    count = np.bincount(place, weights=n)
-    own = np.cumsum(np.diff(keys >> 8, prepend=keys[:1] >> 8) != 0)
-    return keys, place, count, own, np.bincount(own, weights=count), np.bincount(own, weights=count > 0)
+def _context_tables(gram: np.ndarray, n: np.ndarray, order: int) -> dict[int, tuple]:
+    """For every order down to 3: distinct (context, byte), each gram's place among them, their counts, the
+    number of their context, per context sums and kinds, and the places of the next longer ones among them."""
+    tables, keys, place, count = {}, gram, np.arange(len(gram)), n
+    for k in range(order, 2, -1):
+        longer = None
+        if k < order:
+            keys, longer = np.unique(keys & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
+            place, count = longer[place], np.bincount(longer, weights=count)
+        own = np.cumsum(np.diff(keys >> 8, prepend=keys[:1] >> 8) != 0)
+        tables[k] = keys, place, count, own, np.bincount(own, weights=count), np.bincount(own, weights=count > 0), longer
+    return tables
 
 
 def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
