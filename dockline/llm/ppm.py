@@ -312,7 +312,7 @@ def code_lengths(gram: np.ndarray, n: np.ndarray, short: Short, order: int = ORD
     tables = _context_tables(gram, n, order)
     for k in range(order, -1, -1):
         if k > 2:
-            keys, place, count, own, total, kinds = tables[k]
+            keys, place, count, own, total, kinds, _ = tables[k]
             seen, sums, distinct = count[place], total[own[place]], kinds[own[place]]
             below = tables[k - 1][2][tables[k - 1][6]] if k > 3 else short.count(2, keys & 0xFFFFFF)
             shadow = np.bincount(own, weights=np.where(count > 0, below, 0))[own[place]]
