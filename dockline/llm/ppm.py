@@ -390,16 +390,21 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
         for row in _rows(left.to_batches()):
             texts = _unpack(row["data"], row["sizes"])
             m = len(texts)
-            words = word_buckets(list(set().union(*(t.split() for t in texts))), buckets)
+            distinct = set()
+            for text in texts:
+                distinct.update(text.split())
+            words = word_buckets(list(distinct), buckets)
             known = [_expand(answer[-1 - b].as_py(), np.int64) for b in range(buckets) if words[b]]
             place = {w: i for i, w in enumerate(w for part in words for w in part)}
             c = np.concatenate([*known, [ends]]).astype(np.float64)  # the last stands for the end of a text
             price = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             n_tokens, n_known, base_score = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m)
             for i, text in enumerate(texts):
-                own = [*map(place.__getitem__, text.split()), len(c) - 1]
-                n_tokens[i], n_known[i], base_score[i] = len(own), np.count_nonzero(c[own]), price[own].sum()
-            del place, words
+                split = text.split()
+                own = np.fromiter(map(place.__getitem__, split), np.int64, len(split))
+                n_tokens[i], n_known[i] = len(own) + 1, np.count_nonzero(c[own]) + (ends > 0)
+                base_score[i] = price[own].sum() + price[-1]
+            del place, words, distinct
             portions = [(low, high, found, place) for low, high, found, place, _ in _portions(texts, order)]
             kinds, at = np.unique(np.concatenate([found for _, _, found, _ in portions]), return_inverse=True)
             length = np.zeros(len(kinds))
