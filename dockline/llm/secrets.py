@@ -48,12 +48,12 @@ class Models(NamedTuple):
     per_char: float
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """`body` of the value, which is worked out once, also where a lambda names it again and again."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _blocks(values: Column) -> Column:
+def blocks(values: Column) -> Column:
     last = F.greatest(F.floor((F.size(values) - 1) / BLOCK).cast("int"), F.lit(0))
     return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)))
 
@@ -73,13 +73,13 @@ def running(values: Column, op, zero: int = 0) -> Column:
 
     def all_blocks(blocks):
         sums = within(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: op(a, x))), zero)
-        return _let(sums, lambda sums: F.flatten(F.transform(
+        return let(sums, lambda sums: F.flatten(F.transform(
             blocks, lambda b, i: within(b, F.coalesce(F.get(sums, i - 1), zero)))))
 
-    return _let(values, lambda v: _let(_blocks(v), all_blocks))
+    return let(values, lambda v: let(blocks(v), all_blocks))
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+def spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Matches of the pattern as array<struct<start, kind, end, value>>; those with a short group go.
 
     Code points, end exclusive. Where a match starts follows from the lengths
@@ -95,16 +95,16 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0
             (x["end"] - F.length(x["match"])).alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["value"].alias("value")))
         return F.filter(named, lambda x: F.length(x["value"]) >= least)
 
-    found = _let(F.struct(F.split(text, pattern, -1).alias("b"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")),
+    found = let(F.struct(F.split(text, pattern, -1).alias("b"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")),
                  lambda x: placed(x["b"], x["m"]))
     return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(empty)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
     return {
-        "assign": _spans(text, ASSIGN, 0, 2, ASSIGN_VALUE_CHARS),
-        "access": _spans(text, ACCESS, 1),
-        "hex": _spans(text, HEX, 2),
+        "assign": spans(text, ASSIGN, 0, 2, ASSIGN_VALUE_CHARS),
+        "access": spans(text, ACCESS, 1),
+        "hex": spans(text, HEX, 2),
     }
 
 
@@ -157,7 +157,7 @@ def fit(labelled: DataFrame) -> Models:
 
 def _score(piece: Column, table: Column) -> Column:
     """Log-likelihood ratio of one piece, its ends included."""
-    step = lambda acc, c: _let(F.instr(F.lit(ALPHABET), c), lambda code: F.struct(
+    step = lambda acc, c: let(F.instr(F.lit(ALPHABET), c), lambda code: F.struct(
         code.alias("last"), (acc["sum"] + F.get(table, acc["last"] * SIZE + code)).alias("sum")))
     done = lambda acc: acc["sum"] + F.get(table, acc["last"] * SIZE)
     init = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))
@@ -200,7 +200,7 @@ def _stretches(run: Column, models: Models, table: Column) -> Column:
                 F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), closed(acc).alias("got"))
             return F.when(drop, fresh).otherwise(kept)
 
-        return _let(acc["sum"] + _score(piece, table), with_sum)
+        return let(acc["sum"] + _score(piece, table), with_sum)
 
     return F.aggregate(F.split(run["value"], SEPARATOR), init, step, closed)
 
@@ -208,22 +208,23 @@ def _stretches(run: Column, models: Models, table: Column) -> Column:
 def _markov(text: Column, models: Models) -> Column:
     """Spans that the models hold for random strings."""
     table = F.expr(f"cast(split('{','.join(f'{x:.4f}' for x in models.ratios)}', ',') as array<double>)")
-    return F.flatten(F.transform(_spans(text, CANDIDATE, 3), lambda run: _stretches(run, models, table)))
+    return F.flatten(F.transform(spans(text, CANDIDATE, 3), lambda run: _stretches(run, models, table)))
 
 
-def _apart(base: Column, more: Column) -> Column:
-    """All spans of `base`, and those of `more` that overlap none of them, in order."""
+def apart(base: Column, more: Column, kind: int) -> Column:
+    """All spans of `base`, of kinds below `kind`, and those of `more`, which has that kind, that overlap none of them, in order."""
     def chosen(all_):
-        ends = F.transform(all_, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0))
-        starts = F.transform(F.reverse(all_), lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(_FAR))
+        ends = F.transform(all_, lambda s: F.when(s["kind"] < kind, s["end"]).otherwise(0))
+        starts = F.transform(F.reverse(all_), lambda s: F.when(s["kind"] < kind, s["start"]).otherwise(_FAR))
         marked = F.arrays_zip(
             all_.alias("s"), running(ends, F.greatest).alias("before"),
             F.reverse(running(starts, F.least, _FAR)).alias("after"))
-        kept = F.filter(marked, lambda x: (x["s"]["kind"] < 3) | (
+        kept = F.filter(marked, lambda x: (x["s"]["kind"] < kind) | (
             (x["before"] <= x["s"]["start"]) & (x["after"] >= x["s"]["end"])))
         return F.transform(kept, lambda x: x["s"])
 
-    return F.when(F.size(more) == 0, F.array_sort(base)).otherwise(_let(F.array_sort(F.concat(base, more)), chosen))
+    return let(F.struct(base.alias("base"), more.alias("more")), lambda x: F.when(
+        F.size(x["more"]) == 0, F.array_sort(x["base"])).otherwise(let(F.array_sort(F.concat(x["base"], x["more"])), chosen)))
 
 
 _FAR = (1 << 31) - 1
@@ -240,7 +241,7 @@ def scan(docs: DataFrame, models: Models, keep: list[str], text: str = "text") -
     columns = [docs[c] for c in keep if c not in made]
     own = docs.select(*columns, F.coalesce(docs[text].cast("string"), F.lit("")).alias("_text"))
     own = own.withColumns({"_base": F.concat(*base_spans(F.col("_text")).values()), "_markov": _markov(F.col("_text"), models)})
-    own = own.withColumn("found", _apart(F.col("_base"), F.col("_markov")))
+    own = own.withColumn("found", apart(F.col("_base"), F.col("_markov"), 3))
     counted = lambda i: F.size(F.filter("found", lambda s: s["kind"] == i)).cast("bigint")
     return own.select(
         *(F.col(c) for c in keep if c not in made),
@@ -272,11 +273,11 @@ def redact(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
 
     def cut(block):
         low, high = F.get(block, F.lit(0))["from"], F.element_at(block, -1)["to"]
-        return _let(F.substr("_own", low + 1, high - low), lambda part: F.transform(
+        return let(F.substr("_own", low + 1, high - low), lambda part: F.transform(
             block, lambda x: F.substr(part, x["from"] - low + 1, x["to"] - x["from"])))
 
     reach = running(F.transform("found", lambda s: s["end"]), F.greatest)
-    pieces = _let(between(reach), lambda b: F.flatten(F.transform(_blocks(b), cut)))
+    pieces = let(between(reach), lambda b: F.flatten(F.transform(blocks(b), cut)))
     out = found.withColumn("_new", F.when(F.size("found") > 0, F.array_join(pieces, REDACTED)).otherwise(F.col("_own")))
     changed = {text: F.col("_new")}
     if "n_chars" in names:

@@ -224,16 +224,80 @@ def test_distinct_parts_stay_distinct(spark):
 def test_crowded_parts_never_stay(spark, monkeypatch):
     monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["bar", "bel"], "cyrillic": ["бар", "бел"]})
     monkeypatch.setattr(pii, "TRIES_PER_STEP", 1)
-    monkeypatch.setattr(pii, "MAX_TRIES", 12)
     rows = [("surname", f"Name{i}") for i in range(50)] + [("local", c) for c in [*"abcdefghijklmnopqrstuvwxyz", "_"]]
-    rows += [("ssn", c) for c in "0123456789"] + [("phone", str(i)) for i in range(10)]
+    rows += [("ssn", c) for c in "0123456789"] + [("phone", f"{i:03d}") for i in range(1000)] + [("card", str(i)) for i in range(10)]
+    rows += [("ip6", f"::{i:x}") for i in range(16)]
     got = pii.surrogates(spark.createDataFrame(rows, "kind string, value string"), "k").collect()
     assert {(r.kind, r.value) for r in got} == set(rows) and len({(r.kind, r.surrogate) for r in got}) == len(rows) == len(got)
-    assert all(r.value != r.surrogate for r in got)
-    left = spark.createDataFrame([("ssn", "7")], "kind string, value string")
-    done = spark.createDataFrame([("ssn", "1", "3"), ("ssn", "2", "4")], "kind string, value string, surrogate string")
-    swapped = {r.value: r.surrogate for r in pii._rotated(left, done, "k").collect()}
-    assert swapped == {"7": "3", "1": "7", "2": "4"}
+    assert not {(r.kind, r.surrogate) for r in got} & set(rows)
+
+
+def mod97(iban):
+    turned = iban[4:] + iban[:4]
+    return int("".join(str(int(c, 36)) for c in turned)) % 97
+
+
+def test_further_formats(spark):
+    texts = [
+        "by Kevin Brown,", "by Mary O'Brien,", "by John McDonald,", "see Dr. Laura Weber.", "call +14155550199 now", "call 01 23 45 67 89 now",
+        "card 378282246310005.", "to DE89 3704 0044 0532 0130 00 now", "to DE89370400440532013000,", "at 2001:db8::ff00:42:8329 or fe80::1",
+        "by Mary Smith-Jones,", "Mr. Xu and Prof. Zelda Quux and John F. Kennedy and Peter van der Berg", "Jones and O'Brien's",
+    ]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replace(docs, "k", ["doc_id"]).collect()}
+    for i, values in enumerate([
+        ["Kevin", "Brown"], ["Mary", "O'Brien"], ["John", "McDonald"], ["Laura", "Weber"], ["4155550199"], ["01 23 45 67 89"], ["378282246310005"],
+        ["3704 0044"], ["37040044"], ["2001:db8", "fe80"], ["Smith", "Jones"], ["Xu", "Zelda", "Quux", "Kennedy", "Berg"],
+    ]):
+        assert not any(v in got[i].surrogate_text for v in values), got[i].surrogate_text
+    assert re.fullmatch(r"call \+1\d{10} now", got[4].surrogate_text) and re.fullmatch(r"call \d\d( \d\d){4} now", got[5].surrogate_text)
+    card = re.fullmatch(r"card (\d{15})\.", got[6].surrogate_text)[1]
+    assert sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(card))) % 10 == 0
+    spaced, plain = got[7].surrogate_text[3:-4], got[8].surrogate_text[3:-1]
+    assert spaced.replace(" ", "") == plain and plain.startswith("DE") and mod97(plain) == 1 and len(spaced) == 27
+    assert re.fullmatch(r"at [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4} or [0-9a-f]{4}::[0-9a-f]", got[9].surrogate_text)
+    assert re.fullmatch(r"by [A-Z]\w+ [A-Z]\w+-[A-Z]\w+,", got[10].surrogate_text)
+    assert re.fullmatch(r"Mr\. \w+ and Prof\. \w+ \w+ and \w+ F\. \w+ and \w+ van der \w+", got[11].surrogate_text)
+    assert got[12].surrogate_text == texts[12]
+
+
+def test_what_is_no_personal_data_stays(spark):
+    texts = [
+        "a::b and std::vector, 12:30:45", "2024-01-01 12 30 00", "1234567890123456789012", "GB00 1234 5678 9012 3456 78", "number 1234567890123",
+        "The Kevin said", "Version 1.2.3.4.5", "DRAFT Mary", "Drive Laura",
+    ]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.surrogate_text for r in pii.replace(docs, "k", ["doc_id"]).collect()}
+    assert {i: t for i, t in got.items() if i != 3} == {i: t for i, t in enumerate(texts) if i != 3}
+    assert got[3].startswith("GB00")
+
+
+def brute_base(text):
+    """Entities of the simple kinds in plain Python, with the same precedence."""
+    found = []
+    for k, name in enumerate(("email", "ip", "card", "ssn")):
+        pattern = {
+            "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+            "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![0-9A-Za-z]|\.[0-9])",
+            "card": r"(?<![0-9A-Za-z-])\d{4}(?:[ -]?\d{4}){3}(?![0-9A-Za-z-])", "ssn": r"(?<![0-9A-Za-z-])\d{3}-\d\d-\d{4}(?![0-9A-Za-z-])",
+        }[name]
+        for m in re.finditer(pattern, text, re.A):
+            if not any(a < m.end() and m.start() < b for a, b, _ in found):
+                found.append((m.start(), m.end(), name))
+    return sorted(found)
+
+
+def test_simple_kinds_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    many = "x a.b@c.example 10.0.0.1 4111 1111 1111 1111 123-45-6789 " * 3000
+    docs = docs.unionByName(spark.createDataFrame([(-1, many)], "doc_id long, text string"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in pii.replace(docs, "k", ["doc_id"]).collect():
+        got = [tuple(e.split(":")) for e in r.entities.split(",") if e]
+        got = sorted((int(a), int(b), k) for k, a, b in got if k in ("email", "ip", "card", "ssn"))
+        assert got == brute_base(texts[r.doc_id])
+        if r.doc_id == -1:
+            assert len(got) == 12_000 and "a.b@" not in r.surrogate_text and "4111 1111" not in r.surrogate_text
 
 
 def test_a_longer_surrogate_is_written_in_full(spark):
