@@ -1,10 +1,12 @@
 """Benchmark decontamination: BM25 over test items with block-max pruning.
 
 Items are ordered by the score they reach against themselves and cut into
-blocks. Every passage of every text is a query. A block is looked at only if
-the sum of its terms' largest impacts reaches the threshold; within it, items
-count only if they hold a term at or past the pivot, the place where that sum
-is reached. All items above the threshold are found, none is cut off. What is
+blocks. Every passage of every text is a query. Postings lead from its terms to
+the blocks that hold them; the terms of least impact, whose largest impacts
+anywhere sum up to SLACK, are not followed but allowed for. Only those blocks
+are opened whose largest impacts then reach the threshold. Within a block,
+items count only if they hold a term at or past the pivot, the place where that
+sum is reached. All items above the threshold are found, none is cut off. What is
 found is verified on the whole text: word shingles of the question and word
 pairs of the answer.
 """
@@ -32,6 +34,10 @@ QUESTION_SHINGLE, ANSWER_SHINGLE = 5, 2
 MIN_PASSAGE = 64
 # One index holds so many items and bytes of their texts at most; further items make further passes.
 SHARD_ITEMS, SHARD_BYTES = 20_000, 16 << 20
+# What the terms of a passage that lead to no blocks may add up to; below THRESHOLD.
+SLACK = 0.05
+# Postings of blocks that are looked at in one step; bounds a task's memory.
+PORTION = 1 << 20
 
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
@@ -93,6 +99,15 @@ class Index:
         order = sorted(range(len(rows)), key=lambda i: vectors[i][2])
         order = [i for i in order if vectors[i][2] > 0]
         self.blocks = [self._block(order[k : k + BLOCK_ITEMS], vectors) for k in range(0, len(order), BLOCK_ITEMS)]
+        # postings of blocks: those of term t from block_starts[t] to block_starts[t + 1]
+        none = [np.zeros(0, dtype=np.int64)]
+        terms = np.concatenate(none + [b.terms for b in self.blocks])
+        by = np.argsort(terms, kind="stable")
+        self.block_starts = np.searchsorted(terms[by], np.arange(len(self.code) + 1))
+        self.block_of = np.repeat(np.arange(len(self.blocks)), [len(b.terms) for b in self.blocks])[by]
+        self.block_most = np.concatenate([np.zeros(0)] + [b.most for b in self.blocks])[by]
+        self.most = np.zeros(len(self.code))
+        np.maximum.at(self.most, terms[by], self.block_most)
 
     @staticmethod
     def _block(items: list[int], vectors: list[tuple]) -> Block:
@@ -123,8 +138,8 @@ class Index:
         key = np.unique((doc * (int(slot.max()) + 1 if len(slot) else 1) + slot) * max(len(self.code), 1) + code)
         query, term = key // max(len(self.code), 1), key % max(len(self.code), 1)
         best: dict[tuple[int, int], float] = {}
-        for block in self.blocks:
-            for q, item, score in zip(*self._hits(block, query, term), strict=True):
+        for block, some_query, some_term in self._opened(query, term):
+            for q, item, score in zip(*self._hits(block, some_query, some_term), strict=True):
                 text = int(q) // (int(slot.max()) + 1)
                 best[text, int(item)] = max(best.get((text, int(item)), 0.0), float(score))
         grams: dict[tuple[int, int], set] = {}
@@ -139,6 +154,38 @@ class Index:
             if overlaps[0] >= QUESTION_OVERLAP and overlaps[1] >= ANSWER_OVERLAP:
                 yield text, item, score, *overlaps
 
+    def _opened(self, query: np.ndarray, term: np.ndarray) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
+        """Blocks that may hold a hit, each with the (query, term) of those queries; query is sorted."""
+        if not len(query) or not self.blocks:
+            return
+        queries, first, sizes = np.unique(query, return_index=True, return_counts=True)
+        own = np.repeat(np.arange(len(queries)), sizes)
+        by = np.lexsort((self.most[term], own))
+        top, ordered = self.most[term][by], term[by]
+        sums = np.cumsum(top)
+        essential = sums - np.repeat(sums[first] - top[first], sizes) > SLACK
+        rest = np.bincount(own[~essential], weights=top[~essential], minlength=len(queries))
+        own, ordered = own[essential], ordered[essential]
+        counts = self.block_starts[ordered + 1] - self.block_starts[ordered]
+        # portions end where a query ends
+        portion = np.cumsum(counts) // PORTION
+        ends = np.flatnonzero(np.r_[own[1:] != own[:-1], True]) + 1 if len(own) else np.zeros(0, dtype=np.int64)
+        ends = ends[np.r_[portion[ends[1:] - 1] != portion[ends[:-1] - 1], True]] if len(ends) else ends
+        alive = []
+        for low, high in zip(np.r_[0, ends[:-1]], ends, strict=True):
+            some = counts[low:high]
+            rows = np.repeat(np.arange(low, high), some)
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(some) - some, some) + self.block_starts[ordered[rows]]
+            pairs, code = np.unique(own[rows] * len(self.blocks) + self.block_of[at], return_inverse=True)
+            bound = np.bincount(code, weights=self.block_most[at], minlength=len(pairs)) + rest[pairs // len(self.blocks)]
+            alive.append(pairs[bound >= THRESHOLD - 1e-6])
+        pairs = np.concatenate(alive) if alive else np.zeros(0, dtype=np.int64)
+        pairs = pairs[np.argsort(pairs % len(self.blocks), kind="stable")]
+        numbers, starts = np.unique(pairs % len(self.blocks), return_index=True)
+        for number, some in zip(numbers, np.split(pairs // len(self.blocks), starts[1:]), strict=True):
+            at = np.repeat(first[some] - np.cumsum(sizes[some]) + sizes[some], sizes[some]) + np.arange(sizes[some].sum())
+            yield self.blocks[number], query[at], term[at]
+
     @staticmethod
     def _hits(block: Block, query: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All (query, item, score) of a block with a score of THRESHOLD or more; query is sorted."""

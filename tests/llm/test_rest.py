@@ -166,6 +166,35 @@ def test_no_items(spark):
     assert decontaminate.find(docs, none).count() == 0 and decontaminate.drop_contaminated(docs, none).count() == 1
 
 
+def test_blocks_are_skipped(monkeypatch):
+    rnd = np.random.default_rng(4)
+    vocabulary = np.array([f"w{i}" for i in range(30_000)])
+    texts = [" ".join(rnd.choice(vocabulary, 24)) for _ in range(20_000)]
+    docs = [" ".join([*rnd.choice(vocabulary, 300), *(texts[i * 7].split() if i < 40 else [])]).encode() for i in range(300)]
+    opened, real = [], decontaminate.Index._hits
+    monkeypatch.setattr(decontaminate.Index, "_hits", staticmethod(lambda b, q, t: (opened.append(len(np.unique(q))), real(b, q, t))[1]))
+    seen = {}
+    for size in (400, 20_000):
+        df = {}
+        for text in texts[:size]:
+            for w in set(text.encode().split()):
+                df[w] = df.get(w, 0) + 1
+        index = decontaminate.Index([(i, t.encode(), df) for i, t in enumerate(texts[:size])], size, 24.0, 64)
+        opened.clear()
+        hits = {(h[0], h[1]) for h in index.search(docs)}
+        assert hits == {(i, i * 7) for i in range(40)}
+        monkeypatch.setattr(decontaminate, "PORTION", 1000)
+        assert hits == {(h[0], h[1]) for h in index.search(docs)}
+        monkeypatch.setattr(decontaminate, "PORTION", 1 << 20)
+        seen[size] = sum(opened) / 2
+        # every passage in every block, as far as they share a term, were it not for the bounds
+        monkeypatch.setattr(decontaminate.Index, "_opened", lambda self, q, t: ((b, q, t) for b in self.blocks))
+        assert hits == {(h[0], h[1]) for h in index.search(docs)}
+        monkeypatch.undo()
+        monkeypatch.setattr(decontaminate.Index, "_hits", staticmethod(lambda b, q, t: (opened.append(len(np.unique(q))), real(b, q, t))[1]))
+    assert seen[20_000] <= 3 * max(seen[400], 80), seen
+
+
 # -- personal data ------------------------------------------------------------
 
 TEXTS = [
