@@ -31,6 +31,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 # Registers of the sketches that rule out pairs; one loses a pair of similarity 0.8 with probability 2e-8.
 FINE = 1024
+# Parts that the copies of one text are dealt over before all but one are dropped.
+SPREAD = 16
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -211,8 +213,11 @@ def _placed(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataF
     shared = materialize(buckets.join(sizes, "bucket"), "shared")
 
     # the texts that share a bucket at all are fetched once; without the hint a small table of nodes would be broadcast
-    nodes = shared.select(F.col("node").alias("_node")).distinct().hint("merge")
-    texts = materialize(base.select("_node", "_text").join(nodes, "_node", "left_semi").dropDuplicates(["_node"]), "texts")
+    nodes = shared.select(F.col("node").alias("_node")).distinct()
+    parts = nodes.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    dealt = base.select("_node", "_text", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int").alias("_part"))
+    few = dealt.join(parts.hint("merge"), ["_node", "_part"], "left_semi").dropDuplicates(["_node", "_part"])
+    texts = materialize(few.drop("_part").dropDuplicates(["_node"]), "texts")
     fine = materialize(_fine(texts), "fine")
 
     # first, everyone against its buckets' most connected text
@@ -246,11 +251,16 @@ def _placed(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataF
     if not more.isEmpty():
         classes = materialize(components(links.unionByName(more)), "classes")
 
-    placed = rows.select("_id", "_node").join(classes.withColumnRenamed("node", "_node"), "_node", "left").select(
-        "_id", "_node", F.coalesce("label", "_node").alias("_class")
+    # a text's rows are counted first, so a class is as many rows as it has texts; the hashes among the keys leave each
+    # join's smaller side on a shuffle of its own, and AQE free to split a class of many texts, or a text of many rows
+    counted = rows.groupBy("_node").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    known = counted.join(classes.withColumnRenamed("node", "_node"), "_node", "left").select(
+        "_node", "_least", "_rows", F.coalesce("label", "_node").alias("_class")
     )
-    named = placed.groupBy("_class").agg(F.min("_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return placed.join(named, "_class")
+    named = known.groupBy(F.xxhash64("_class").alias("_hash"), "_class").agg(
+        F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size")).drop("_hash")
+    places = known.join(named, "_class").select("_node", F.xxhash64("_node").alias("_hash"), "_class", "class_id", "class_size")
+    return rows.select("_id", "_node", F.xxhash64("_node").alias("_hash")).join(places, ["_node", "_hash"]).drop("_hash")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -89,3 +89,27 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(41)} == {0} and {v for k, v in got.items() if k >= 100} == {100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.3",
+}
+
+
+def test_hot_text_is_split(spark, conf):
+    """A third of all rows are one text: AQE cuts its partition of the last join."""
+    for key, value in SPLIT.items():
+        conf(key, value)
+    docs = spark.range(0, 12_000, 1, 16).selectExpr(
+        "id doc_id", "if(id % 3 = 0, 'the same few words for all', concat_ws(' ', id, id + 1, id * 7, md5(cast(id as string)), id * 13)) text")
+    placed = minhash.near_duplicates(docs)
+    got = placed.groupBy().agg({"class_size": "max", "class_id": "sum", "doc_id": "count"})
+    row = got.collect()[0]
+    assert (row["max(class_size)"], row["count(doc_id)"]) == (4000, 12_000)
+    assert row["sum(class_id)"] == sum(i for i in range(12_000) if i % 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan, plan
