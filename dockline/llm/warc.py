@@ -48,9 +48,11 @@ def records(pages: DataFrame) -> DataFrame:
         pages["page_id"].cast("bigint").alias("page_id"), pages["url"].cast("string").alias("url"),
         F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html"),
     ).withColumn("payload_digest", F.sha2("html", 256)).withColumn("payload_bytes", F.octet_length("html").cast("bigint"))
-    first = base.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES).groupBy("payload_digest").agg(
-        F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_copies")
-    ).where("_copies > 1 and _first is not null").drop("_copies")
+    # grouped by a hash too: the join then shuffles these rows again, which leaves AQE free to split a digest of many pages
+    first = base.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES).groupBy(
+        F.xxhash64("payload_digest").alias("_hash"), "payload_digest"
+    ).agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_copies")).where(
+        "_copies > 1 and _first is not null").drop("_copies", "_hash")
     revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     return base.join(first, "payload_digest", "left").select(
         "page_id", "url", "html", "payload_digest", "payload_bytes",

@@ -149,3 +149,20 @@ def test_a_revisit_stays_when_its_response_is_lost(spark):
     rows = [("f", "record", 0, 9, 5, "u", "revisit", 4, "d", b"", None)]
     (got,) = warc.restored(spark.createDataFrame(rows, warc.RECORD_SCHEMA)).collect()
     assert (got.page_id, got.payload_bytes, got.payload_digest, got.refers_to) == (5, None, "d", 4)
+
+
+def test_hot_payload_is_split(spark, conf):
+    """A third of all pages have one payload: AQE cuts that partition of the join by digest."""
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }.items():
+        conf(key, value)
+    pages = spark.range(0, 60_000, 1, 16).selectExpr(
+        "id page_id", "concat('http://a/', md5(cast(id as string))) url", "if(id % 3 = 0, repeat('same', 40), cast(id as string)) html")
+    kinds = warc.records(pages).groupBy().agg({"refers_to": "count", "url": "max", "html": "max"})
+    assert kinds.collect()[0]["count(refers_to)"] == 19_999
+    assert "skew=true" in kinds._jdf.queryExecution().executedPlan().toString()
