@@ -18,8 +18,9 @@ block and by the number of buckets, which grows with the corpus.
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -127,42 +128,89 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def gram_buckets(kinds: np.ndarray, buckets: int) -> list[np.ndarray]:
-    """Sorted distinct grams, dealt out by the last three bytes of their context."""
-    kinds = np.sort(kinds)
-    own = (_mixed((kinds >> 8) & 0xFFFFFF) % np.uint64(buckets)).astype(np.int64)
+def _dealt(own: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """Places of the rows of each bucket, in their order."""
+    own = own.astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     by = np.argsort(own, kind="stable")
-    return np.split(kinds[by], np.cumsum(np.bincount(own, minlength=buckets))[:-1])
+    return np.split(by, np.cumsum(np.bincount(own, minlength=buckets))[:-1])
 
 
-def word_buckets(words: list[bytes], buckets: int) -> list[list[bytes]]:
-    """Distinct words, dealt out by their checksum, in a fixed order."""
-    words = sorted(words)
-    flat = np.empty(len(words), dtype=object)
-    flat[:] = words
-    own = (np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets).astype(np.int64)
-    parts = np.split(flat[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=buckets))[:-1])
-    return [part.tolist() for part in parts]
+def gram_buckets(kinds: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """Places of grams, dealt out by the last three bytes of their context."""
+    return _dealt(_mixed((kinds >> 8) & 0xFFFFFF) % np.uint64(buckets), buckets)
 
 
-def _portions(texts: list[bytes], order: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per portion of the texts its range, its distinct grams, each byte's place among them, and each byte's text."""
-    import pandas as pd
+def word_codes(texts: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, list[bytes], list[np.ndarray]]:
+    """The words of all texts as codes, how many each text has, the distinct words by code, and the codes of
+    each bucket's words, sorted by word. Buckets are dealt out by checksum."""
+    place: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+    parts = []
+    for text in texts:
+        split = text.split()
+        parts.append(np.fromiter(map(place.__getitem__, split), np.int32, len(split)))
+    words = sorted(place)
+    code = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
+    own = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.concatenate(parts), sizes, list(place), [code[at] for at in _dealt(own, buckets)]
 
-    for low, high in common.blocks(texts, PORTION_BYTES):
-        key, own = grams(texts[low:high], order)
-        place, kinds = pd.factorize(key)
-        yield low, high, kinds, place.astype(np.int32), own
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where in sorted numbers each distinct one begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), dtype=bool), ordered[1:] != ordered[:-1]]))
+
+
+def _merged(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of sorted runs, sorted, and the place of each run's numbers among them."""
+    flat = np.concatenate(runs)
+    by = np.argsort(flat, kind="stable")  # which merges runs
+    ordered = flat[by]
+    starts = _starts(ordered)
+    place = np.empty(len(flat), dtype=np.int32)
+    place[by] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(starts, append=len(flat)))
+    return ordered[starts], place
 
 
 def block_grams(texts: list[bytes], learn: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct grams of a block, sorted, and their number in its training texts."""
-    tables = [
-        (kinds, np.bincount(place, weights=learn[low:high][own], minlength=len(kinds)))
-        for low, high, kinds, place, own in _portions(texts, order)
-    ]
-    kinds, place = np.unique(np.concatenate([k for k, _ in tables]), return_inverse=True)
-    return kinds, np.bincount(place, weights=np.concatenate([n for _, n in tables]), minlength=len(kinds)).astype(np.int32)
+    runs, counts = [], []
+    for low, high in common.blocks(texts, PORTION_BYTES):
+        key, own = grams(texts[low:high], order)
+        marked = (key << 1) | learn[low:high][own]
+        marked.sort()
+        starts = _starts(marked >> 1)
+        runs.append(marked[starts] >> 1)
+        counts.append(np.add.reduceat(marked & 1, starts))
+    kinds, place = _merged(runs)
+    return kinds, np.bincount(place, weights=np.concatenate(counts), minlength=len(kinds)).astype(np.int32)
+
+
+@dataclass
+class Portion:
+    """Some texts of a block: their grams, sorted, and for each occurrence, by gram, the text it is in."""
+
+    low: int
+    high: int
+    kinds: np.ndarray
+    repeats: np.ndarray
+    own: np.ndarray
+
+    def totals(self, length: np.ndarray) -> np.ndarray:
+        """Per text the sum of its grams' lengths."""
+        return np.bincount(self.own, weights=np.repeat(length, self.repeats), minlength=self.high - self.low)
+
+
+def portions(texts: list[bytes], order: int) -> Iterator[Portion]:
+    """The texts in portions of PORTION_BYTES and 256 texts at most: a text's number then fits beside a gram of seven bytes."""
+    for start, stop in common.blocks(texts, PORTION_BYTES):
+        for low in range(start, stop, 256):
+            high = min(low + 256, stop)
+            key, own = grams(texts[low:high], order)
+            marked = (key.astype(np.uint64) << np.uint64(8)) | own.astype(np.uint64)
+            marked.sort()
+            key = (marked >> np.uint64(8)).astype(np.int64)
+            starts = _starts(key)
+            yield Portion(low, high, key[starts], np.diff(starts, append=len(key)).astype(np.int32), marked.astype(np.uint8))
 
 
 def ask_grams(packs: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
@@ -175,8 +223,8 @@ def ask_grams(packs: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
             parts = gram_buckets(kinds, buckets)
             full = [b for b in range(buckets) if len(parts[b])]
             yield _batch(
-                [row["pid"]] * len(full), full, [_squeeze(np.diff(parts[b], prepend=0)) for b in full],
-                [_squeeze(total[np.searchsorted(kinds, parts[b])]) for b in full])
+                [row["pid"]] * len(full), full, [_squeeze(np.diff(kinds[parts[b]], prepend=0)) for b in full],
+                [_squeeze(total[parts[b]]) for b in full])
 
     return packs.mapInArrow(run, _ASK_SCHEMA)
 
@@ -186,14 +234,13 @@ def ask_words(packs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         for row in _rows(batches):
-            count, other = Counter(), set()
-            for text, held in zip(_unpack(row["data"], row["sizes"]), row["held"], strict=True):
-                (other if held else count).update(text.split())
-            parts = word_buckets(list(count.keys() | other), buckets)
-            full = [b for b in range(buckets) if parts[b]]
+            codes, sizes, words, parts = word_codes(_unpack(row["data"], row["sizes"]), buckets)
+            learn = np.repeat(~np.asarray(row["held"], dtype=bool), sizes)
+            total = np.bincount(codes[learn], minlength=len(words)).astype(np.int64)
+            full = [b for b in range(buckets) if len(parts[b])]
             yield _batch(
-                [row["pid"]] * len(full), full, [zlib.compress(b"\n".join(parts[b]), 1) for b in full],
-                [_squeeze(np.array([count[w] for w in parts[b]], dtype=np.int64)) for b in full])
+                [row["pid"]] * len(full), full, [zlib.compress(b"\n".join([words[c] for c in parts[b]]), 1) for b in full],
+                [_squeeze(total[parts[b]]) for b in full])
 
     return packs.mapInArrow(run, _ASK_SCHEMA)
 
@@ -233,15 +280,12 @@ def word_counts(table):
 
 def gram_lengths(table, order: int, short: Short):
     """The code lengths of a bucket's grams for each block that asked."""
-    import pandas as pd
     import pyarrow as pa
 
     asked = [np.cumsum(_expand(x.as_py(), np.int64)) for x in table.column("keys")]
     own = np.concatenate([_expand(x.as_py(), np.int32) for x in table.column("counts")])
-    place, found = pd.factorize(np.concatenate(asked))
-    by = np.argsort(found)
-    length = np.empty(len(found), dtype=np.float32)
-    length[by] = code_lengths(found[by], np.bincount(place, weights=own, minlength=len(found))[by], short, order)
+    kinds, place = _merged(asked)
+    length = code_lengths(kinds, np.bincount(place, weights=own, minlength=len(kinds)), short, order).astype(np.float32)
     answers = [_squeeze(x) for x in np.split(length[place], np.cumsum([len(x) for x in asked])[:-1])]
     bucket = table.column("bucket")[0].as_py()
     return pa.Table.from_batches([_batch(table.column("pid").to_pylist(), [bucket] * len(answers), answers)])
@@ -389,34 +433,27 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
         out = []
         for row in _rows(left.to_batches()):
             texts = _unpack(row["data"], row["sizes"])
-            m = len(texts)
-            distinct = set()
-            for text in texts:
-                distinct.update(text.split())
-            words = word_buckets(list(distinct), buckets)
-            known = [_expand(answer[-1 - b].as_py(), np.int64) for b in range(buckets) if words[b]]
-            place = {w: i for i, w in enumerate(w for part in words for w in part)}
-            c = np.concatenate([*known, [ends]]).astype(np.float64)  # the last stands for the end of a text
-            price = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-            n_tokens, n_known, base_score = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m)
-            for i, text in enumerate(texts):
-                split = text.split()
-                own = np.fromiter(map(place.__getitem__, split), np.int64, len(split))
-                n_tokens[i], n_known[i] = len(own) + 1, np.count_nonzero(c[own]) + (ends > 0)
-                base_score[i] = price[own].sum() + price[-1]
-            del place, words, distinct
-            portions = [(low, high, found, place) for low, high, found, place, _ in _portions(texts, order)]
-            kinds, at = np.unique(np.concatenate([found for _, _, found, _ in portions]), return_inverse=True)
+            codes, sizes, words, parts = word_codes(texts, buckets)
+            c = np.zeros(len(words))
+            for b, part in enumerate(parts):
+                if len(part):
+                    c[part] = _expand(answer[-1 - b].as_py(), np.int64)
+            price, own = np.log10((c + 0.5) / (n + 0.5 * (v + 1))), np.repeat(np.arange(len(texts)), sizes)
+            # each text has its end besides
+            n_tokens = sizes + 1
+            n_known = np.bincount(own, weights=c[codes] > 0, minlength=len(texts)).astype(np.int64) + (ends > 0)
+            base_score = np.bincount(own, weights=price[codes], minlength=len(texts)) + np.log10((ends + 0.5) / (n + 0.5 * (v + 1)))
+            del codes, words, own
+            pieces = list(portions(texts, order))
+            kinds, at = _merged([piece.kinds for piece in pieces])
             length = np.zeros(len(kinds))
             for b, part in enumerate(gram_buckets(kinds, buckets)):
                 if len(part):
-                    length[np.searchsorted(kinds, part)] = _expand(answer[b].as_py(), np.float32)
-            length, total, used = length[at], np.zeros(m), 0
-            for low, high, found, place in portions:
-                # every text has its end at least, so none is without bytes
-                starts = np.cumsum([0, *map(len, texts[low : high - 1])])
-                total[low:high] = np.add.reduceat(length[used : used + len(found)][place], starts)
-                used += len(found)
+                    length[part] = _expand(answer[b].as_py(), np.float32)
+            length, total, used = length[at], np.zeros(len(texts)), 0
+            for piece in pieces:
+                total[piece.low : piece.high] = piece.totals(length[used : used + len(piece.kinds)])
+                used += len(piece.kinds)
             out.append(pa.table([
                 pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), n_tokens, n_known, base_score, total,
             ], names=_SCORE_NAMES))
